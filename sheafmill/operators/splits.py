@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import checked_broadcast
+from ..session import checked_broadcast, cut_lineage
 
 HASH_PREFIX = 4  # hex digits: 65,536 prefixes per class
 
@@ -25,22 +25,18 @@ def class_counts(df: DataFrame, class_col: str) -> DataFrame:
     return known.groupBy(F.col(class_col).alias("cls")).agg(F.count("*").alias("n"))
 
 
-def _largest_remainder(counts: DataFrame, n_draws: Column) -> DataFrame:
-    """Share ``n_draws`` rows among the classes by largest remainder, ties by class name.
+EVERY = "1"  # constant key of the windows over the class table, which has one row per class
 
-    The window runs over one row per class.
-    """
-    every = Window.partitionBy(F.lit(0))
-    by_rest = every.orderBy(F.desc("rest"), F.asc("cls"))
-    exact = F.col("n") / F.sum("n").over(every) * n_draws
-    return (
-        counts.withColumn("exact", exact)
-        .withColumn("base", F.floor("exact"))
-        .withColumn("rest", F.col("exact") - F.col("base"))
-        .withColumn("missing", n_draws - F.sum("base").over(every))
-        .withColumn("draw", F.col("base") + F.when(F.row_number().over(by_rest) <= F.col("missing"), 1).otherwise(0))
-        .select("cls", "n", F.col("draw").cast("bigint").alias("draw"))
-    )
+
+def _largest_remainder(classes: DataFrame, size: str, n_draws: Column, out: str) -> DataFrame:
+    """Add the share of each class in ``n_draws`` rows by largest remainder, ties by class name."""
+    every = Window.partitionBy(F.lit(EVERY))
+    exact = F.col(size) / F.sum(size).over(every) * n_draws
+    shared = classes.withColumn("_exact", exact).withColumn("_base", F.floor("_exact"))
+    by_rest = every.orderBy(F.desc(F.col("_exact") - F.col("_base")), F.asc("cls"))
+    missing = n_draws - F.sum("_base").over(every)
+    extra = F.when(F.row_number().over(by_rest) <= missing, 1).otherwise(0)
+    return shared.withColumn(out, (F.col("_base") + extra).cast("bigint")).drop("_exact", "_base")
 
 
 def split_quotas(counts: DataFrame, test_size: float, val_size: float) -> DataFrame:
@@ -49,18 +45,14 @@ def split_quotas(counts: DataFrame, test_size: float, val_size: float) -> DataFr
     Sizes follow the usual two-step split: test first, then validation as the fraction
     ``val / (1 - test)`` of what remains; both sizes are rounded up.
     """
-    every = Window.partitionBy(F.lit(0))
-    total = F.sum("n").over(every)
-    n_rest = total - F.ceil(total * F.lit(float(test_size)))
-    first = _largest_remainder(counts.withColumn("n_rest", n_rest), F.col("n_rest"))
-    rest = first.select(F.col("cls"), F.col("draw").alias("n"), F.col("n").alias("all_n"))
-    n_train = F.sum("n").over(every) - F.ceil(F.sum("n").over(every) * F.lit(val_size / (1 - test_size)))
-    second = _largest_remainder(rest.withColumn("n_train", n_train).drop("all_n"), F.col("n_train"))
-    return first.join(second.select("cls", F.col("draw").alias("n_train")), "cls").select(
-        "cls",
-        "n",
-        (F.col("n") - F.col("draw")).alias("n_test"),
-        (F.col("draw") - F.col("n_train")).alias("n_val"),
+    every = Window.partitionBy(F.lit(EVERY))
+    remaining = lambda c, fraction: F.sum(c).over(every) - F.ceil(F.sum(c).over(every) * F.lit(float(fraction)))
+    sized = counts.withColumn("_draws", remaining("n", test_size))
+    sized = _largest_remainder(sized, "n", F.col("_draws"), "_rest")
+    sized = sized.withColumn("_draws", remaining("_rest", val_size / (1 - test_size)))
+    sized = _largest_remainder(sized, "_rest", F.col("_draws"), "_train")
+    return sized.select(
+        "cls", "n", (F.col("n") - F.col("_rest")).alias("n_test"), (F.col("_rest") - F.col("_train")).alias("n_val")
     )
 
 
@@ -70,7 +62,7 @@ def fold_quotas(counts: DataFrame, n_splits: int) -> DataFrame:
     Classes are laid end to end in name order and dealt to the folds in turn, so that folds and
     the classes in them differ by at most one row.
     """
-    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("cls")) - F.col("n")
+    before = F.sum("n").over(Window.partitionBy(F.lit(EVERY)).orderBy("cls")) - F.col("n")
     dealt = [
         (F.floor((F.col("start") + F.col("n") - 1 - i) / n_splits) - F.floor((F.col("start") - 1 - i) / n_splits)).cast(
             "bigint"
@@ -135,7 +127,7 @@ def stratified_split(
 
     Rows without a class are training rows.
     """
-    quotas = split_quotas(class_counts(df, class_col), test_size, val_size)
+    quotas = split_quotas(cut_lineage(class_counts(df, class_col)), test_size, val_size)
     quotas = quotas.select("cls", F.array("n_test", "n_val").alias("parts"))
     parted = assign_parts(df, id_col, class_col, quotas, seed, "_part")
     names = F.when(F.col("_part") == 0, "test").when(F.col("_part") == 1, "val").otherwise("train")
@@ -147,7 +139,7 @@ def stratified_folds(df: DataFrame, id_col: str, class_col: str, n_splits: int =
 
     Rows without a class are spread by hash.
     """
-    quotas = fold_quotas(class_counts(df, class_col), n_splits).select("cls", "parts")
+    quotas = fold_quotas(cut_lineage(class_counts(df, class_col)), n_splits).select("cls", "parts")
     spread = F.pmod(F.crc32(hash_rank_key(id_col, seed)), F.lit(n_splits)).cast("int")
     # the last bound closes the last fold, so the parts are 0 .. n_splits-1
     return assign_parts(df, id_col, class_col, quotas, seed, "fold").withColumn("fold", F.coalesce("fold", spread))
@@ -162,7 +154,7 @@ def cv_folds(folded: DataFrame, n_splits: int = 5):
 def class_distribution(df: DataFrame, class_col: str) -> DataFrame:
     """Count and percent of each class, with the smallest and largest class size."""
     counts = df.groupBy(class_col).agg(F.count("*").alias("n"))
-    every = Window.partitionBy(F.lit(0))
+    every = Window.partitionBy(F.lit(EVERY))
     return counts.select(
         class_col,
         "n",

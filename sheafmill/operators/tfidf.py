@@ -71,10 +71,11 @@ class TfidfModel:
         idf = vectors.number_list(self.idf)
         weigh = lambda v, i: (F.log(v) + 1) * F.get(idf, i)
         counted = counted.withColumn("_w", F.zip_with("_counts.values", "_counts.indices", weigh))
-        counted = counted.withColumn("_norm", F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, w: a + w * w)))
-        scaled = F.transform("_w", lambda w: w / F.col("_norm"))
+        # the length is repeated beside the weights: inside the lambda it would be computed per entry
+        length = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, w: a + w * w))
+        scaled = F.zip_with("_w", F.array_repeat(length, F.size("_w")), lambda w, n: w / n)
         row = vectors.sparse(self.width, F.col("_counts.indices"), scaled)
-        return counted.withColumn(out, row).drop("_counts", "_w", "_norm")
+        return counted.withColumn(out, row).drop("_counts", "_w")
 
 
 def fit_tfidf(train: DataFrame, terms_col: str, max_features: int = 8000, min_df: int = 2) -> TfidfModel:

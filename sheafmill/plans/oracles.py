@@ -223,7 +223,7 @@ def feature_queries() -> dict[str, str]:
         + " UNION ALL ".join(f" SELECT doc_id, '{c}' AS section, term, round(weight, 6) AS weight FROM {c}_weights" for c in joined)
     )
     org = "(SELECT count(*) FROM supplier WHERE s_name = 'Supplier#' || lpad(CAST(doc_id % 100 AS VARCHAR), 9, '0'))"
-    gpe = "(SELECT count(*) FROM nation WHERE n_name = 'NATION_' || nation)"
+    gpe = "(SELECT count(*) FROM nation WHERE n_name = 'NATION_' || p.nation)"
     q["txt_25_entity_counts"] = f"SELECT doc_id, {org} AS org_count, {gpe} AS gpe_count FROM {PROFILES} p"
     degree = "CASE degree_level " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in fv.DEGREE_CODES.items()) + " END"
     senior = "CASE " + " ".join(f"WHEN regexp_matches(lower(full_text), '{p}') THEN {v}" for p, v in fv.SENIORITY_PATTERNS) + " ELSE 0 END"
