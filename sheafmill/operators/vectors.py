@@ -13,7 +13,6 @@ import json
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-VECTOR_FIELDS = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
 def sparse(size: int, indices: Column, values: Column) -> Column:

@@ -7,7 +7,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import entities, handcrafted, html, text
-from ..operators import embed, features, graph, labels, latent, metrics, mining, scaling, selection, splits, tfidf, vectors
+from ..operators import (
+    classify, cluster, dbscan, embed, features, graph, labels, latent, metrics, mining, resample, scaling, selection,
+    silhouette, splits, tfidf, vectors,
+)
+from ..session import cut_lineage
 from . import views
 
 QUERIES: dict = {}
@@ -607,3 +611,145 @@ def fea_14_non_negative(spark, d):
 def fea_16_zero_rows(spark, d):
     _, rows = _flat(spark, d, 20)
     return vectors.zero_rows(_train(rows), "flat")
+
+
+# --- resampling, classifiers ----------------------------------------------------------------
+
+
+def _small_flat(spark, d, terms=300):
+    """Flat features of the judged documents with their four-way class."""
+    rows = tfidf.with_terms(views.docs(spark, d), "text", "terms").join(views.judged(spark, d), "doc_id")
+    rows = splits.stratified_split(rows.select("doc_id", "label", "terms"), "doc_id", "label")
+    model = tfidf.fit_tfidf(_train(rows), "terms", terms)
+    return model.width, cut_lineage(model.transform(rows, "terms", "flat").select("doc_id", "label", "split", "flat"))
+
+
+@query
+def res_1_smote_counts(spark, d):
+    width, rows = _small_flat(spark, d)
+    grown = resample.smote(_train(rows), "doc_id", "label", "flat", width)
+    return grown.groupBy("label").agg(F.count("*").alias("n"), F.count_if("synthetic").alias("n_synthetic"))
+
+
+@query
+def res_1_smote_rows(spark, d):
+    """Synthetic embeddings: classes of the vector table raised to the largest."""
+    rows = views.vecs(spark, d).select("vec_id", "label", vectors.from_array(F.col("embedding"), 64).alias("row"))
+    grown = resample.smote(rows, "vec_id", "label", "row", 64)
+    return grown.groupBy("label").agg(F.count("*").alias("n"), F.count_if("synthetic").alias("n_synthetic"))
+
+
+SMALL = {
+    "RandomForest": {"numTrees": 10, "maxDepth": 5},
+    "HistGBT_sklearn": {"maxIter": 2, "maxDepth": 3},
+    "LinearSVC": {"maxIter": 10},
+}
+SMALL_GRIDS = {
+    "RandomForest": [{"numTrees": 5}, {"numTrees": 10}],
+    "HistGBT_sklearn": [{"stepSize": 0.1}],
+    "LinearSVC": [{"C": 0.5}, {"C": 1.0}],
+}
+
+
+def _lang_task(spark, d, terms=300):
+    """Language of all documents from flat features."""
+    rows = _split_docs(spark, d)
+    model = tfidf.fit_tfidf(_train(rows), "terms", terms)
+    label = labels.fit_labels(_train(rows), "category")
+    flat = label.transform(model.transform(rows, "terms", "flat"))
+    return classify.Task(cut_lineage(flat.select("doc_id", "label", "split", "flat")), "flat", model.width)
+
+
+def _fit_one(spark, d, name):
+    task = _lang_task(spark, d)
+    model = classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS)[name]
+    return classify.train_and_evaluate(task, model, {}, task.part("train"), task.part("test"))[1]
+
+
+@query
+def cls_1_random_forest(spark, d):
+    return _fit_one(spark, d, "RandomForest")
+
+
+@query
+def cls_2_boosted_trees(spark, d):
+    return _fit_one(spark, d, "HistGBT_sklearn")
+
+
+@query
+def cls_3_linear_svm(spark, d):
+    return _fit_one(spark, d, "LinearSVC")
+
+
+@query
+def cls_8_selected_and_tested(spark, d):
+    chosen = {n: c for n, c in classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS).items() if n != "HistGBT_sklearn"}
+    results, _, _ = classify.run_all_classifiers(_lang_task(spark, d), chosen)
+    return rounded(results)
+
+
+# --- clusters -------------------------------------------------------------------------------
+
+
+@query
+def eva_4_silhouette(spark, d):
+    return rounded(silhouette.silhouette(views.vecs(spark, d), "vec_id", "embedding", "label"))
+
+
+@query
+def clu_1_reduced(spark, d):
+    rows = views.vecs(spark, d).withColumn("row", vectors.from_array(F.col("embedding"), 64))
+    reduced, svd = cluster.reduce_dimensions(rows, "row", 64, "reduced", 50)
+    return reduced.select("vec_id", F.size("reduced").alias("dims"), F.lit(svd.explained_variance).alias("explained_variance"))
+
+
+@query
+def clu_2_kmeans_sweep(spark, d):
+    found = cluster.run_kmeans(views.vecs(spark, d), "vec_id", "embedding", "label", (5, 10), n_init=3)
+    return rounded(cluster.results_table(spark, found).select("k", "silhouette", "nmi", "ari"))
+
+
+@query
+def clu_3_hierarchical(spark, d):
+    found = cluster.run_hierarchical(views.vecs(spark, d), "vec_id", "embedding", "label", 24)
+    return rounded(cluster.results_table(spark, [found]).select("method", "k", "silhouette", "nmi", "ari"))
+
+
+@query
+def clu_4_dbscan(spark, d):
+    return dbscan.dbscan(views.vecs(spark, d), "vec_id", "embedding", 0.6)
+
+
+@query
+def clu_4_dbscan_customers(spark, d):
+    """Customers on the plane of nation and balance: many points, small neighbourhoods, hot columns."""
+    rows = views.read_table(spark, d, "customer").select(
+        "c_custkey", F.array(F.col("c_nationkey").cast("double"), F.col("c_acctbal") / 100).alias("xy")
+    )
+    return dbscan.dbscan(rows, "c_custkey", "xy", 0.5)
+
+
+@query
+def clu_4_dbscan_sweep(spark, d):
+    found = cluster.run_dbscan(views.vecs(spark, d), "vec_id", "embedding", "label", (0.5, 0.7))
+    return rounded(cluster.results_table(spark, found).select("eps", "n_clusters", "n_noise", "silhouette", "nmi", "ari"))
+
+
+@query
+def clu_5_best_k(spark, d):
+    found = cluster.run_kmeans(views.vecs(spark, d), "vec_id", "embedding", "label", (4, 10), n_init=2)
+    return spark.createDataFrame([(cluster.best_k(found),)], "k int")
+
+
+@query
+def clu_6_comparison(spark, d):
+    rows = views.vecs(spark, d).withColumn("row", vectors.from_array(F.col("embedding"), 64))
+    table, _ = cluster.run_all_clustering(
+        rows, "vec_id", "label", {"row": 64}, n_components=8, k_range=(5, 10), n_init=2, eps_range=(1.5, 2.5), n_iter=2
+    )
+    return rounded(table)
+
+
+@query
+def clu_7_plane(spark, d):
+    return cluster.plane(views.vecs(spark, d), "vec_id", "embedding", "label", 10, n_init=2)

@@ -250,6 +250,40 @@ def feature_queries() -> dict[str, str]:
     return q
 
 
+def sql_dbscan(points: str, eps: float, min_points: int, id_col: str) -> str:
+    """Density clusters of ``points(id, x)`` over all pairs, with a recursive closure."""
+    return f"""
+WITH RECURSIVE pts AS {points},
+near AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON list_distance(a.x, b.x) <= {eps}),
+core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {min_points}),
+links AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+reach AS (SELECT id AS a, id AS b FROM core UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+lab AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM comp),
+edge AS (SELECT a AS id, min(cluster) AS cluster FROM near JOIN lab ON b = lab.id WHERE a NOT IN (FROM core) GROUP BY a)
+SELECT pts.id AS {id_col}, coalesce(lab.cluster, edge.cluster, -1)::BIGINT AS cluster FROM pts LEFT JOIN lab ON lab.id = pts.id LEFT JOIN edge ON edge.id = pts.id"""
+
+
+def cluster_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    vec = "(SELECT vec_id AS id, list_transform(embedding, lambda v: v::DOUBLE) AS x, label FROM embeddings)"
+    grown = """SELECT label, max(n) OVER () AS n, max(n) OVER () - n AS n_synthetic FROM"""
+    train = sql_split(JUDGED, "doc_id", "label", 0.15, 0.15, 42)
+    q["res_1_smote_counts"] = f"{grown} (SELECT label, count(*) AS n FROM ({train}) WHERE split = 'train' GROUP BY label)"
+    q["res_1_smote_rows"] = f"{grown} (SELECT label, count(*) AS n FROM embeddings GROUP BY label)"
+    q["eva_4_silhouette"] = f"""
+      WITH s AS (SELECT * FROM {vec} ORDER BY md5('42-' || id), id LIMIT 2000),
+      p AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
+      i AS (SELECT id, total / (n - 1) AS inside FROM p WHERE own = other AND n > 1),
+      o AS (SELECT id, min(total / n) AS outside FROM p WHERE own <> other GROUP BY id)
+      SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 6) AS silhouette FROM o LEFT JOIN i USING (id)"""
+    q["clu_4_dbscan"] = sql_dbscan(vec, 0.6, 5, "vec_id")
+    q["clu_4_dbscan_customers"] = sql_dbscan(
+        "(SELECT c_custkey AS id, [c_nationkey::DOUBLE, c_acctbal / 100] AS x FROM customer)", 0.5, 5, "c_custkey"
+    )
+    return q
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["txt_1_section_rows"] = f"SELECT doc_id, ord, sec_id, title FROM {SECTION_ROWS}"
@@ -351,4 +385,5 @@ def build() -> dict[str, str]:
     q["eva_5_6_agreement_by_group"] = sql_agreement("lineitem", "l_returnflag", "l_linenumber % 4", "l_linestatus")
     q["cls_11_best_row"] = f"SELECT * FROM {ORDER_SCORES} ORDER BY macro_f1 DESC, mode, classifier LIMIT 1"
     q.update(feature_queries())
+    q.update(cluster_queries())
     return q
