@@ -78,8 +78,10 @@ class TfidfModel:
         return counted.withColumn(out, row).drop("_counts", "_w")
 
 
-def fit_tfidf(train: DataFrame, terms_col: str, max_features: int = 8000, min_df: int = 2) -> TfidfModel:
+def fit_tfidf(
+    train: DataFrame, terms_col: str, max_features: int = 8000, min_df: int = 2, n_docs: int | None = None
+) -> TfidfModel:
     """Fit on training rows. Only the vocabulary, at most ``max_features`` terms, reaches the driver."""
-    n_docs = train.count()
+    n_docs = train.count() if n_docs is None else n_docs
     rows = sorted((r.term, r.df) for r in vocabulary(train, terms_col, max_features, min_df).collect())
     return TfidfModel([t for t, _ in rows], [math.log((1 + n_docs) / (1 + d)) + 1 for _, d in rows], n_docs)

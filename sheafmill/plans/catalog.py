@@ -541,9 +541,22 @@ def fea_7_latent_branch(spark, d):
 
 @query
 def fea_8_hybrid_stack(spark, d):
-    rows = _sections(spark, d)
-    fitted = features.fit_features(rows, "full_text", "category", flat_terms=1000, latent_components=16, svd_iterations=2)
-    return _summary(fitted.transform(rows), "flat", "section", "hybrid")
+    rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
+    _, table = features.fit_features(
+        rows, "full_text", "category", ["doc_id", "category", "split"], latent_components=16, svd_iterations=2
+    )
+    return _summary(table, "flat", "section", "hybrid")
+
+
+@query
+def fea_15_all_modes(spark, d):
+    """All five feature sets of the profiles that have an embedding."""
+    rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
+    rows = embed.with_embeddings(rows, "doc_id", views.vecs(spark, d), "vec_id", "embedding", "emb")
+    _, table = features.fit_features(
+        rows, "full_text", "category", ["doc_id", "category", "split"], ["emb"], latent_components=8, svd_iterations=1
+    )
+    return _summary(table, "flat", "section", "hybrid", "semantic", "combined")
 
 
 @query
@@ -717,21 +730,21 @@ def clu_3_hierarchical(spark, d):
 
 @query
 def clu_4_dbscan(spark, d):
-    return dbscan.dbscan(views.vecs(spark, d), "vec_id", "embedding", 0.6)
+    return dbscan.dbscan(views.vecs(spark, d), "vec_id", "embedding", 1.2)
 
 
 @query
 def clu_4_dbscan_customers(spark, d):
     """Customers on the plane of nation and balance: many points, small neighbourhoods, hot columns."""
     rows = views.read_table(spark, d, "customer").select(
-        "c_custkey", F.array(F.col("c_nationkey").cast("double"), F.col("c_acctbal") / 100).alias("xy")
+        "c_custkey", F.array(F.col("c_nationkey").cast("double"), F.col("c_acctbal") / 1000).alias("xy")
     )
     return dbscan.dbscan(rows, "c_custkey", "xy", 0.5)
 
 
 @query
 def clu_4_dbscan_sweep(spark, d):
-    found = cluster.run_dbscan(views.vecs(spark, d), "vec_id", "embedding", "label", (0.5, 0.7))
+    found = cluster.run_dbscan(views.vecs(spark, d), "vec_id", "embedding", "label", (1.15, 1.25))
     return rounded(cluster.results_table(spark, found).select("eps", "n_clusters", "n_noise", "silhouette", "nmi", "ari"))
 
 

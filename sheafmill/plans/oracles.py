@@ -277,9 +277,9 @@ def cluster_queries() -> dict[str, str]:
       i AS (SELECT id, total / (n - 1) AS inside FROM p WHERE own = other AND n > 1),
       o AS (SELECT id, min(total / n) AS outside FROM p WHERE own <> other GROUP BY id)
       SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 6) AS silhouette FROM o LEFT JOIN i USING (id)"""
-    q["clu_4_dbscan"] = sql_dbscan(vec, 0.6, 5, "vec_id")
+    q["clu_4_dbscan"] = sql_dbscan(vec, 1.2, 5, "vec_id")
     q["clu_4_dbscan_customers"] = sql_dbscan(
-        "(SELECT c_custkey AS id, [c_nationkey::DOUBLE, c_acctbal / 100] AS x FROM customer)", 0.5, 5, "c_custkey"
+        "(SELECT c_custkey AS id, [c_nationkey::DOUBLE, c_acctbal / 1000] AS x FROM customer)", 0.5, 5, "c_custkey"
     )
     return q
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import spread
+
 PROFILE_FIELDS = """
 SELECT c_custkey AS doc_id, c_mktsegment AS category, c_acctbal AS balance, c_nationkey AS nation,
   CASE c_custkey % 5 WHEN 0 THEN 'Skills' WHEN 1 THEN 'Technical Skills' WHEN 2 THEN 'Core Competencies'
@@ -82,7 +84,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per customer with the fields it was written from."""
-    return spark.sql(PROFILES_SQL, customer=read_table(spark, sf_dir, "customer"))
+    return spark.sql(PROFILES_SQL, customer=spread(read_table(spark, sf_dir, "customer")))
 
 
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +106,8 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, with the language as class."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("category"))
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("category"))
+    return spread(documents)
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,3 +60,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     """
     stored = cut_lineage(df)
     return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input comes in fewer pieces than that, such as one small file.
+
+    An input of many pieces, as any large table is, is left as it comes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
