@@ -34,12 +34,15 @@ def number_list(values, kind: str = "double") -> Column:
     return F.from_json(F.lit(json.dumps([v for v in values])), f"array<{kind}>")
 
 
+def _shifted(indices: Column, offset: int) -> Column:
+    return F.transform(indices, lambda i: i + F.lit(offset)) if offset else indices
+
+
 def hstack(parts: list[tuple[Column, int]]) -> Column:
     """Feature rows side by side; each part is given with its width."""
     indices, values, offset = [], [], 0
     for row, width in parts:
-        start = offset
-        indices.append(F.transform(row["indices"], lambda i, start=start: i + F.lit(start)) if start else row["indices"])
+        indices.append(_shifted(row["indices"], offset))
         values.append(row["values"])
         offset += width
     return sparse(offset, F.concat(*indices), F.concat(*values))
