@@ -147,17 +147,14 @@ def categorised(sections: Column) -> Column:
 def joined_text(sections: Column, category: str) -> Column:
     """Texts of one category in document order, one space between, blank sections left out.
 
-    A text that only becomes blank by losing its title still counts, except while nothing is
-    collected yet: then the next text replaces it without a space in front.
+    A text that only becomes blank by losing its title still counts, but not ahead of the first
+    text that is not blank.
     """
     texts = F.transform(
         F.filter(sections, lambda s: (s["category"] == category) & s["filled"]), lambda s: s["text"]
     )
-    return F.aggregate(
-        texts,
-        F.lit(""),
-        lambda acc, t: F.when(F.length(acc) > 0, F.concat(acc, F.lit(" "), t)).otherwise(t),
-    )
+    first = F.array_position(F.transform(texts, lambda t: F.length(t) > 0), True)
+    return F.when(first > 0, F.array_join(F.slice(texts, first.cast("int"), F.size(texts)), " ")).otherwise("")
 
 
 def with_sections(df: DataFrame, html_col: str = "Resume_html") -> DataFrame:

@@ -78,23 +78,16 @@ def lemmatise(tokens: Column) -> Column:
 def lemmatise_with_table(df: DataFrame, id_col: str, tokens_col: str, lemmas: DataFrame) -> DataFrame:
     """Replace tokens through a dictionary table ``(form, lemma)``; other tokens pass.
 
-    The dictionary is a table of any size: Spark broadcasts it when its measured size allows and
-    shuffles otherwise. A few words make up much of any text, so in the shuffled case the lookup
-    runs on the distinct words of each document, and AQE splits what stays skewed.
+    The dictionary may be of any size: Spark broadcasts it when its measured size allows, and
+    otherwise shuffles the words, where AQE splits the few that make up much of any text. The
+    words of a document are put together again by position, first map-side.
     """
     table = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
-    found = (
-        df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("form"))
-        .join(table, "form")
-        .groupBy(id_col)
-        .agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_lemmas"))
-    )
-    replaced = F.transform(tokens_col, lambda t: F.coalesce(F.element_at("_lemmas", t), t))
-    return (
-        df.join(found, id_col, "left")
-        .withColumn(tokens_col, F.when(F.col("_lemmas").isNull(), F.col(tokens_col)).otherwise(replaced))
-        .drop("_lemmas")
-    )
+    words = df.select(id_col, F.posexplode(tokens_col).alias("pos", "form")).join(table, "form", "left")
+    placed = F.struct("pos", F.coalesce("lemma", "form").alias("word"))
+    again = words.groupBy(id_col).agg(F.sort_array(F.collect_list(placed)).alias("_placed"))
+    again = again.select(id_col, F.col("_placed.word").alias("_words"))
+    return df.join(again, id_col, "left").withColumn(tokens_col, F.coalesce("_words", tokens_col)).drop("_words")
 
 
 def section_tokens(text: Column, stop_words: Iterable[str] = ENGLISH_STOP_WORDS) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import MaxAbsScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from ..operators import (
     classify, cluster, dbscan, embed, features, graph, labels, latent, metrics, mining, resample, scaling, selection,
     silhouette, splits, tfidf, vectors,
 )
-from ..session import cut_lineage
-from . import views
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources import documents, stored
+from . import stages, views
 
 QUERIES: dict = {}
 
@@ -766,3 +769,79 @@ def clu_6_comparison(spark, d):
 @query
 def clu_7_plane(spark, d):
     return cluster.plane(views.vecs(spark, d), "vec_id", "embedding", "label", 10, n_init=2)
+
+
+# --- stored tables, models, stages ----------------------------------------------------------
+
+
+def _folder(spark):
+    """A fresh folder beside the checkpoints, on storage that all executors reach."""
+    return f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+
+
+@query
+def src_2_canonical_columns(spark, d):
+    pages = views.read_table(spark, d, "pages")
+    return documents.canonical_columns(pages.select(F.col("page_id").alias(" Id "), F.col("html").alias("RESUME_HTML"), "url"))
+
+
+@query
+def src_3_dense_ids(spark, d):
+    return documents.with_dense_ids(views.read_table(spark, d, "customer").select("c_custkey", "c_name"), "row_id")
+
+
+@query
+def snk_1_src_5_stored_splits(spark, d):
+    path = _folder(spark)
+    documents.save_splits(splits.stratified_split(views.docs(spark, d).select("doc_id", "category"), "doc_id", "category"), path)
+    return documents.load_splits(spark, path)
+
+
+@query
+def snk_2_src_6_stored_features(spark, d):
+    """A feature table written, read back as vectors, and scaled by its largest values."""
+    rows = views.vecs(spark, d).select("vec_id", vectors.from_array(F.col("embedding"), 64).alias("row"))
+    path = _folder(spark)
+    stored.write_stage(rows, path)
+    back = stored.read_features(spark, path, ["row"])
+    scaled = MaxAbsScaler(inputCol="row", outputCol="s").fit(back).transform(back)
+    return scaled.select("vec_id", F.posexplode(vector_to_array("s")).alias("i", "v")).select("vec_id", "i", r6("v", "value"))
+
+
+@query
+def snk_5_src_7_cls_10_stored_models(spark, d):
+    """Models stored, loaded by key and scored on the test rows."""
+    task = _lang_task(spark, d)
+    chosen = classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS)
+    path = _folder(spark)
+    names = ("RandomForest", "LinearSVC")
+    stored.save_models({f"flat_{n}": classify.train(task, chosen[n], {}, task.part("train", "val"), False) for n in names}, path)
+    _, scores = classify.score_models(task.rows, {"flat": task.width}, stored.load_models(spark, path))
+    return rounded(scores)
+
+
+@query
+def cls_9_set_3_feature_sets(spark, d):
+    """Two feature sets of the profiles side by side, results in one table."""
+    rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
+    encoder = labels.fit_labels(_train(rows), "category")
+    sizes = dict(flat_terms=300, section_terms=100, n_columns=200, latent_components=4, svd_iterations=1)
+    fitted, table = features.fit_features(encoder.transform(rows), "full_text", "label", ["doc_id", "label", "split"], **sizes)
+    chosen = {"RandomForest": classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS)["RandomForest"]}
+    widths = {m: fitted.widths[m] for m in ("flat", "section")}
+    results, _, _ = classify.compare_feature_sets(cut_lineage(table), widths, chosen, use_smote=False)
+    return rounded(results)
+
+
+@query
+def pip_1_parse_stage(spark, d):
+    """Documents written as a table, then the whole parse stage over it."""
+    path = _folder(spark)
+    pages = views.profiles(spark, d)
+    text = F.concat_ws(" ", "skills_src", "exp_src", "edu_src")
+    stored.write_stage(pages.select(F.col("doc_id").alias("id"), text.alias("Resume_Text"), F.col("html").alias("resume_html"), "category"), f"{path}/source")
+    parsed = stages.run_parsing(spark, f"{path}/source", path)
+    return parsed.select(
+        F.col("ID").alias("doc_id"), F.col("Category").alias("category"), "split", "experience_text", "education_text",
+        F.array_join("skills_tokens", "|").alias("skills"), "years_experience", "degree_level",
+    )

@@ -232,6 +232,23 @@ def feature_queries() -> dict[str, str]:
       len(education_tokens)::DOUBLE AS education_len, length(full_text)::DOUBLE AS text_length, ({senior})::DOUBLE AS seniority,
       org_count::DOUBLE AS org_count, gpe_count::DOUBLE AS gpe_count
       FROM {SECTION_TABLE} JOIN ({q['txt_25_entity_counts']}) USING (doc_id)"""
+    numbers = "(" + " + ".join(f"h.{n} ** 2" for n in ("years_experience", "degree_code", "num_skills", "skills_len", "experience_len", "education_len", "text_length", "seniority")) + ")"
+    terms = " UNION ALL ".join(f"SELECT doc_id, weight FROM {c}_weights" for c in joined)
+    vocab = " + ".join(f"(SELECT count(*) FROM {c}_vocab)" for c in joined)
+    q["fea_5_section_stack"] = (
+        "WITH " + rows + ", " + ", ".join(sql_tfidf("s_rows", f"{c}_terms", 3000, c) for c in joined)
+        + f""", h AS ({q['fea_6_handcrafted']}), t AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM ({terms}) GROUP BY doc_id)
+      SELECT doc_id, split, ({vocab} + 8)::INTEGER AS section_width, (coalesce(n, 0) + 8)::INTEGER AS section_entries,
+        round(sqrt(coalesce(q, 0) + {numbers}), 6) AS section_length FROM s_rows JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
+    )
+    emb_rows = "e_rows AS (SELECT flat_rows.*, embedding FROM flat_rows JOIN embeddings ON doc_id = vec_id)"
+    q["fea_11_combined"] = (
+        "WITH " + FLAT_ROWS + ", " + emb_rows + ", " + sql_tfidf("e_rows", "terms", 500)
+        + """, t AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM x_weights GROUP BY doc_id)
+      SELECT doc_id, split, ((SELECT count(*) FROM x_vocab) + 64)::INTEGER AS combined_width, (coalesce(n, 0) + 64)::INTEGER AS combined_entries,
+        round(sqrt(coalesce(q, 0) + list_sum(list_transform(embedding, lambda v: v::DOUBLE ** 2))), 6) AS combined_length
+      FROM e_rows LEFT JOIN t USING (doc_id)"""
+    )
     q["fea_9_embedding_join"] = """SELECT doc_id, len(embedding)::INTEGER AS dims, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total
       FROM documents JOIN embeddings ON doc_id = vec_id"""
     cells = "(SELECT vec_id, generate_subscripts(embedding, 1)::INTEGER - 1 AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)"
@@ -386,4 +403,11 @@ def build() -> dict[str, str]:
     q["cls_11_best_row"] = f"SELECT * FROM {ORDER_SCORES} ORDER BY macro_f1 DESC, mode, classifier LIMIT 1"
     q.update(feature_queries())
     q.update(cluster_queries())
+    q["src_2_canonical_columns"] = "SELECT page_id AS ID, html AS Resume_html, url FROM pages"
+    q["src_3_dense_ids"] = "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_id, c_custkey, c_name FROM customer"
+    q["snk_1_src_5_stored_splits"] = DOC_SPLIT
+    q["snk_2_src_6_stored_features"] = q["fea_13_max_abs"]
+    q["pip_1_parse_stage"] = f"""SELECT doc_id, category, split, {EXPERIENCE_TEXT} AS experience_text, {EDUCATION_TEXT} AS education_text,
+      array_to_string({sql_skills(SKILLS_TEXT)}, '|') AS skills, CASE WHEN no_sections THEN 0 ELSE years_named END AS years_experience,
+      CASE WHEN no_sections THEN 'unknown' ELSE degree_named END AS degree_level FROM {PROFILES} JOIN ({PROFILE_SPLIT}) USING (doc_id, category)"""
     return q
