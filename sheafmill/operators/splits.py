@@ -103,13 +103,18 @@ def rank_thresholds(df: DataFrame, id_col: str, class_col: str, quotas: DataFram
     )
 
 
-def assign_parts(df: DataFrame, id_col: str, class_col: str, quotas: DataFrame, seed: int, out: str) -> DataFrame:
+def assign_parts(
+    df: DataFrame, id_col: str, class_col: str, quotas: DataFrame, seed: int, out: str, keys: DataFrame | None = None
+) -> DataFrame:
     """Add the index of the part each row falls into (the number of bounds below its key).
 
+    ``keys`` is a narrow stored copy of id and class for finding the thresholds, where reading
+    ``df`` again is dear.
+
     The thresholds have one row per class and are broadcast after a count, so the wide side stays
     where it is. Rows without a class get no part (null).
     """
-    bounds = checked_broadcast(rank_thresholds(df, id_col, class_col, quotas, seed))
+    bounds = checked_broadcast(rank_thresholds(df if keys is None else keys, id_col, class_col, quotas, seed))
     key = F.concat(hash_rank_key(id_col, seed), F.lit(" "), F.col(id_col).cast("string"))
     part = F.size(F.filter("_bounds", lambda b: b < F.col("_key")))
     return (
@@ -121,15 +126,17 @@ def assign_parts(df: DataFrame, id_col: str, class_col: str, quotas: DataFrame,
 
 
 def stratified_split(
-    df: DataFrame, id_col: str, class_col: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42
+    df: DataFrame, id_col: str, class_col: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``split`` (``train``, ``val`` or ``test``), stratified by class, exact and repeatable.
 
-    Rows without a class are training rows.
+    Rows without a class are training rows. ``keys`` as in ``assign_parts``.
     """
-    quotas = split_quotas(cut_lineage(class_counts(df, class_col)), test_size, val_size)
+    counts = class_counts(df if keys is None else keys, class_col)
+    quotas = split_quotas(cut_lineage(counts), test_size, val_size)
     quotas = quotas.select("cls", F.array("n_test", "n_val").alias("parts"))
-    parted = assign_parts(df, id_col, class_col, quotas, seed, "_part")
+    parted = assign_parts(df, id_col, class_col, quotas, seed, "_part", keys)
     names = F.when(F.col("_part") == 0, "test").when(F.col("_part") == 1, "val").otherwise("train")
     return parted.withColumn("split", names).drop("_part")
 

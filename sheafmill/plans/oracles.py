@@ -395,7 +395,7 @@ def build() -> dict[str, str]:
     q["eva_1_classification_metrics"] = f"SELECT * EXCLUDE (grp) FROM ({sql_class_scores(JUDGED, 'label', 'quality')})"
     q["eva_1_metrics_by_group"] = sql_class_scores("lineitem", "l_returnflag", "substr(l_linestatus, 1, 1)", "l_linestatus")
     q["eva_2_confusion_matrix"] = f"""SELECT truth, {', '.join(f'count(*) FILTER (quality = {i}) AS pred_{i}' for i in range(4))}
-      FROM (SELECT unnest(range(4)) AS truth) LEFT JOIN {JUDGED} ON label = truth GROUP BY truth"""
+      FROM (SELECT unnest(range(4))::INTEGER AS truth) LEFT JOIN {JUDGED} ON label = truth GROUP BY truth"""
     q["eva_3_metric_table"] = f"""SELECT classifier, {', '.join(f"max(macro_f1) FILTER (mode = '{m}') AS {m}" for m in 'FOP')}
       FROM {ORDER_SCORES} GROUP BY classifier"""
     q["eva_5_6_cluster_agreement"] = f"SELECT nmi, ari FROM ({sql_agreement(JUDGED, 'quality', 'toxic')})"

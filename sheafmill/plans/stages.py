@@ -24,11 +24,12 @@ ID, TEXT, HTML, CLASS = "ID", "Resume_str", "Resume_html", "Category"
 def run_parsing(spark: SparkSession, source: str, work: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42) -> DataFrame:
     """Documents to section texts, tokens, attributes and a split; stored by split.
 
-    The page source is dropped after the walk. One narrow pass over ids and classes finds the
-    split thresholds before the texts are touched.
+    The source is read twice: once for ids and classes, from which the split thresholds are found,
+    and once for the texts. The page source is dropped after the walk.
     """
     raw = documents.load_documents(spark, source)
-    parted = splits.stratified_split(raw, ID, CLASS, test_size, val_size, seed)
+    keys = cut_lineage(raw.select(ID, CLASS))
+    parted = splits.stratified_split(raw, ID, CLASS, test_size, val_size, seed, keys)
     parsed = with_section_attributes(with_sections(parted, HTML)).drop(HTML)
     documents.save_splits(parsed, f"{work}/parsed")
     return documents.load_splits(spark, f"{work}/parsed")
@@ -48,7 +49,8 @@ def run_features(spark: SparkSession, work: str, embeddings: tuple[DataFrame, st
     """Feature table of all modes, fitted on the training split.
 
     ``embeddings`` is a table with its id and vector columns; without it the semantic and combined
-    modes are left out. ``sizes`` are the size parameters of ``fit_features``.
+    modes are left out. They are joined once and the result is stored, so that the passes of the
+    fit read single columns of it. ``sizes`` are the size parameters of ``fit_features``.
     """
     rows = documents.load_splits(spark, f"{work}/parsed")
     encoder = labels.fit_labels(rows.where(F.col("split") == "train").select(CLASS), CLASS)
@@ -57,7 +59,8 @@ def run_features(spark: SparkSession, work: str, embeddings: tuple[DataFrame, st
     if embeddings is not None:
         table, table_id, names = embeddings
         columns = [F.col(c).cast("array<double>").alias(c) for c in names]
-        rows = rows.join(table.select(F.col(table_id).alias(ID), *columns), ID)
+        joined = rows.join(table.select(F.col(table_id).alias(ID), *columns), ID)
+        rows = stored.write_stage(joined, f"{work}/parsed_with_embeddings")
     fitted, table = features.fit_features(rows, TEXT, "label", [ID, "label", "split"], names, **sizes)
     stored.save_feature_set(spark, fitted, f"{work}/feature_set")
     encoder.write().overwrite().save(f"{work}/label_encoder")
