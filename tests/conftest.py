@@ -10,6 +10,6 @@ from sheafmill.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session()
+    session = local_session(partitions=4)
     yield session
     session.stop()
