@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -31,7 +32,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLIC
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()], dtype=np.int64)
+        sizes = np.array([0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()], dtype=np.int64)
         piece = np.cumsum(sizes) // most
         edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
