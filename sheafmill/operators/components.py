@@ -10,35 +10,35 @@ from ..session import cut_lineage
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` with the smallest id of the component, for edges ``(src, dst)``.
 
-    Alternates two steps until nothing changes: every node hangs its larger neighbours below the
-    smallest id it sees, then its smaller ones. Paths halve in each round, so the number of rounds
-    grows with the logarithm of the longest path. Each round is written to the checkpoint folder.
+    The graph shrinks in each round: a node merges into whichever of itself and its neighbours comes
+    first in that round's random order, edges are renamed and repeated ones and loops go. A star ends in
+    one or two rounds and a path loses a fixed share of its nodes, so rounds grow with the logarithm
+    of the graph and the rows of all rounds together with its size. Every table that is joined is
+    written to the checkpoint folder first, so both sides of a join come straight from a shuffle and
+    Spark can split the rows of a hub. Null ends and loops are left out.
     """
-    both = edges.where(F.col("src") != F.col("dst"))
-    links = cut_lineage(
-        both.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
-    )
-    previous = None
-    while True:
-        links = cut_lineage(_small_step(_large_step(links)))
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if state == previous:
-            break
-        previous = state
-    return links.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
-        links.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
-    )
-
-
-def _large_step(links: DataFrame) -> DataFrame:
-    """Link each node's larger neighbours to the smallest of the node and its neighbours."""
-    sides = links.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")), F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("s")).select("s.u", "s.v")
-    least = sides.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return sides.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-
-
-def _small_step(links: DataFrame) -> DataFrame:
-    """Link each node's smaller neighbours, and the node, to the smallest of them."""
-    least = links.groupBy("hi").agg(F.min("lo").alias("m"))
-    lower = links.join(least, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    return lower.unionByName(least.select("hi", F.col("m").alias("lo"))).where(F.col("hi") != F.col("lo")).distinct()
+    links = cut_lineage(_ordered(edges.select("src", "dst")))
+    labels, turn = None, 0
+    while not links.isEmpty():
+        turn += 1
+        order = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("id"))  # noqa: E731, B023
+        sides = links.select(F.explode(F.array(F.struct(F.col("src").alias("u"), order("dst").alias("v")), F.struct(F.col("dst").alias("u"), order("src").alias("v")))).alias("s"))
+        first = sides.groupBy("s.u").agg(F.min("s.v").alias("v"))
+        merged = cut_lineage(first.select("u", F.least(order("u"), F.col("v"))["id"].alias("p")))
+        a, b = merged.select(F.col("u").alias("src"), F.col("p").alias("a")), merged.select(F.col("u").alias("dst"), F.col("p").alias("b"))
+        half = cut_lineage(links.join(a, "src").select("a", "dst"))
+        links = cut_lineage(_ordered(half.join(b, "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+        if labels is None:
+            labels = merged.select(F.col("u").alias("id"), F.col("p").alias("label"))
+        else:
+            on = labels.join(merged, F.col("label") == F.col("u"), "left")
+            labels = cut_lineage(on.select("id", F.coalesce("p", "label").alias("label")))
+    if labels is None:
+        return links.select(F.col("src").alias("id"), F.col("dst").alias("component"))
+    least = cut_lineage(labels.groupBy("label").agg(F.min("id").alias("component")))
+    return labels.join(least, "label").select("id", "component")
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    """Each link once, smaller end first."""
+    return links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).where("src < dst").distinct()
