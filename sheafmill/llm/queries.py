@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing
+from . import bpe, packing, quality, simhash
 from .common import read
 
 
@@ -24,9 +24,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), "doc_id", "text", word_bpe_path())
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    return quality.score(docs, "doc_id", "text", model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
+    "op8_simhash": op8_simhash,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
