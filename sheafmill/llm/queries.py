@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, quality, simhash
+from . import bpe, packing, quality, simhash, warc
 from .common import read
 
 
@@ -24,6 +24,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), "doc_id", "text", word_bpe_path())
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return warc.round_trip(pages, "page_id", "url", "html").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,6 +43,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
+    "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
