@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, quality, simhash, warc
+from . import bpe, packing, quality, simhash, substring, warc
 from .common import read
 
 
@@ -16,6 +16,11 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), "doc_id", "text", word_bpe_path())
 
@@ -41,6 +46,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring": op1_substring,
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
     "op7_warc": op7_warc,
