@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, quality, simhash, substring, warc
+from . import bpe, exact_topk, forest, packing, quality, simhash, substring, warc
 from .common import read
 
 
@@ -29,6 +29,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), "doc_id", "text", word_bpe_path())
 
 
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     return warc.round_trip(pages, "page_id", "url", "html").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
+    "op4_forest": op4_forest,
+    "op5_exact_topk": op5_exact_topk,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
