@@ -2,9 +2,10 @@
 
 Indicators: words and word pairs in lower case, the same of word shapes (runs of capitals, small letters,
 digits and signs), and triples of "this word repeats the one before". They are hashed to ``2 ** BITS``
-features. Log-count ratios come from all labelled training rows; the hinge-loss model is fitted by dual
-coordinate descent, in one task, on a sample of at most about ``fit_rows`` of them, drawn by a hash of the
-id. A part of the sample is kept from the fit and turns margins into probabilities.
+features. The classifier is fitted on a bounded sample of the labelled training rows, drawn by a hash of
+the id: log-count ratios on about ``ratio_rows`` of them (all, if there are fewer), the hinge-loss model by
+dual coordinate descent, in one task, on about ``fit_rows`` of those. A part of the latter is kept from the
+fit and turns margins into probabilities. The sampled ids are broadcast, so no text is shuffled.
 
 Every text is read whole. A null or empty text has the constant feature alone and so a score like any other.
 Rows of ``labels`` without a label, or with ids that no document has, take no part; repeated rows count
@@ -27,6 +28,7 @@ from .common import id_hash, spread, stored, text_slices
 
 BITS = 18
 BLOCKS = 64
+RATIO_ROWS = 100_000
 FIT_ROWS = 10_000
 CUT = 0.3
 SMOOTHING = 1.0
@@ -150,16 +152,18 @@ def training_rows(id_col: str) -> Column:
     return id_hash(id_col) % 5 != 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int = FIT_ROWS, bits: int = BITS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, ratio_rows: int = RATIO_ROWS, fit_rows: int = FIT_ROWS, bits: int = BITS) -> Model:
     """A model from the labelled training rows.
 
-    The texts meet their labels in one join, whose result is read once: each task adds up its counts by
-    feature and passes on its rows of the sample. The driver gets ``2 ** bits`` counts and weights.
+    Each task adds up its counts by feature and passes on its rows of the sample, in one pass over the
+    texts. The driver gets ``2 ** bits`` counts and weights.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & training_rows(id_col)).select(id_col, F.col(label_col).cast("int").alias("label"))
-    share = min(1.0, fit_rows / max(1, known.count()))
-    texts = docs.where(training_rows(id_col)).select(id_col, text_col).join(known, id_col)
-    texts = texts.select(F.col(text_col).alias("text"), "label", (F.pmod(F.xxhash64(F.lit(5), id_col), F.lit(1 << 30)) < int(share * (1 << 30))).alias("drawn"))
+    rows = max(1, known.count())
+    place, whole = F.pmod(F.xxhash64(F.lit(5), id_col), F.lit(1 << 30)), 1 << 30
+    known = known.where(place < int(min(1.0, ratio_rows / rows) * whole))
+    texts = docs.where(training_rows(id_col)).select(id_col, text_col).join(F.broadcast(known), id_col)
+    texts = texts.select(F.col(text_col).alias("text"), "label", (place < int(min(1.0, fit_rows / rows) * whole)).alias("drawn"))
     size = 1 << bits
     width = size // BLOCKS
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_topk, forest, packing, quality, simhash, substring, warc
+from . import bpe, exact_topk, forest, mixing, packing, quality, simhash, substring, warc
 from .common import read
 
 
@@ -37,6 +37,10 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     return warc.round_trip(pages, "page_id", "url", "html").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_forest": op4_forest,
     "op5_exact_topk": op5_exact_topk,
+    "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
