@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_topk, forest, mixing, packing, quality, simhash, substring, warc
+from . import bpe, exact_topk, forest, html_main, mixing, packing, quality, simhash, substring, warc
 from .common import read
 
 
@@ -51,6 +51,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(read(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"), "doc_id", "text", "quality")
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
+    "op9_html": op9_html,
     "op10_quality": op10_quality,
 }
 
