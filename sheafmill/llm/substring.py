@@ -20,6 +20,7 @@ their repeats.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,12 +56,12 @@ class _Words:
 
     def __init__(self, texts: list[bytes | None]):
         known: dict[bytes, int] = {}
-        order, counts = [], []
+        order, counts = array("i"), []
         for text in texts:
             words = text.split() if text else ()
             counts.append(len(words))
-            order += [known.setdefault(w, len(known)) for w in words]
-        at = np.array(order, np.int64)
+            order.extend([known.setdefault(w, len(known)) for w in words])
+        at = np.frombuffer(order, np.int32) if len(order) else np.empty(0, np.int32)
         keys = list(known)
         self.doc = np.repeat(np.arange(len(texts)), counts)
         self.first = np.concatenate([[0], np.cumsum(counts)])[:-1]
@@ -278,13 +279,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     return moved.mapInArrow(gather, _SCHEMA).select("id", "key", "first", "last")
 
 
-def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram: int = GRAM, keep_untouched: bool = False) -> DataFrame:
     """``df`` with the words that remain, joined by one space, in ``text_col``, and ``n_words``, ``n_removed`` long.
 
     A word goes if it is covered by a window that also starts in a document with a smaller id; windows
     are judged on the input. Rows with equal ids are one document: they never remove each other's words. A
     null id counts as larger than any other. A null text has no words and becomes the empty text, as does
-    one of white space. Columns of ``df`` that are named like the two counts are replaced.
+    one of white space. With ``keep_untouched`` a text that loses no word keeps its own white space. Columns of ``df`` that are named like the two counts are replaced.
     """
     rest = [c for c in df.columns if c not in (text_col, "n_words", "n_removed")]
     held = spread(df.select(F.struct(*rest).alias("rest"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST_ID))).alias("id"), F.col(text_col).alias("text")))
@@ -309,7 +310,7 @@ def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram:
                     own = [own[i] for i in np.flatnonzero(keep)]
                 else:
                     removed.append(0)
-                texts.append(b" ".join(own))
+                texts.append((text or b"") if keep_untouched and not spans else b" ".join(own))
             yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64())], ["rest", "text", "n_words", "n_removed"])
 
     done = joined.mapInArrow(strip, f"rest {kind}, text string, n_words long, n_removed long")
