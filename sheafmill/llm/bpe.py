@@ -32,7 +32,7 @@ SLICE_BYTES = 16 << 20
 #: Lists of fewer positions are merged one by one.
 FEW = 8
 #: Latin letters that have one lower-case form, in a composed text, whatever stands beside them.
-LATIN = "\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"
+LATIN = "\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f"
 PLAIN = re.compile(f"[!-~{LATIN}]+")
 PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
 

@@ -5,6 +5,9 @@ each tree. A vector gets one more component that brings all to one length, so th
 is a small angle. A node splits at the median of the projections on a random direction, the difference
 of two sampled vectors.
 
+Neighbouring leaves of a tree share a shelf, which one task compares: it returns the few best of each query over all
+leaves that the query visits there.
+
 A query searches all trees through one priority queue. A node's priority is the sum of the query's signed
 distances from the splits on its path; the best node of any tree is opened next, until the leaves taken
 hold ``budget`` rows. The rows of these leaves are compared exactly, in double precision, leaf by leaf.
@@ -25,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import spread, stored
-from .vectors import BLOCK_ROWS, candidates, matrix, queries, ranked, usable
+from .vectors import candidates, matrix, queries, ranked, usable
 
 TREES = 12
 LEAF_ROWS = 800
 SAMPLE_ROWS = 20_000
 LEAST_SAMPLE = 16
+#: Rows of a shelf.
+SHELF_ROWS = 65_536
 PROBES = 200
 RECALL = 0.95
 
@@ -159,6 +164,20 @@ def _budget(trees: list[Tree], sizes: dict[tuple[int, int], int], rows: DataFram
     return int(np.quantile(needed, recall)) if needed else 0
 
 
+def _shelves(sizes: dict[tuple[int, int], int]) -> dict[tuple[int, int], tuple[int, int]]:
+    """First shelf of each leaf and how many it is spread over: neighbouring leaves share one, a large leaf has several."""
+    out, tree, shelf, rows = {}, -1, -1, 0
+    for place in sorted(sizes):
+        blocks = -(-sizes[place] // SHELF_ROWS)
+        if place[0] != tree:
+            tree, shelf, rows = place[0], 0, 0
+        elif rows + sizes[place] > SHELF_ROWS:
+            shelf, rows = shelf + 1, 0
+        out[place] = shelf, blocks
+        shelf, rows = shelf + blocks - 1, rows + sizes[place] if blocks == 1 else SHELF_ROWS
+    return out
+
+
 def search(df: DataFrame, id_col: str, vec_col: str, wanted: Column, k: int = 20, trees: int = TREES, leaf_rows: int = LEAF_ROWS,
            sample_rows: int = SAMPLE_ROWS, recall: float = RECALL, budget: int | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query, by inner product.
@@ -183,56 +202,79 @@ def search(df: DataFrame, id_col: str, vec_col: str, wanted: Column, k: int = 20
     forest = [grow(sample, leaf, random) for _ in range(trees)]
     kind = pool.schema["vec"].dataType.simpleString()
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             x = lengthened(matrix(part.column("vec")), longest)
             for n, tree in enumerate(forest):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), n, np.int32)), pa.array(tree.leaf_of(x).astype(np.int32)), part.column("vec_id"), part.column("vec")], ["tree", "leaf", "vec_id", "vec"])
+                at, rows = np.unique(tree.leaf_of(x), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), n, np.int32)), pa.array(at.astype(np.int32)), pa.array(rows)], ["tree", "leaf", "n"])
 
-    index = pool.mapInArrow(put, f"tree int, leaf int, vec_id long, vec {kind}")
-    sizes = {(r.tree, r.leaf): r["n"] for r in index.groupBy("tree", "leaf").agg(F.count("*").alias("n")).collect()}
+    counted = pool.mapInArrow(leaves, "tree int, leaf int, n long").groupBy("tree", "leaf").agg(F.sum("n").alias("n"))
+    sizes = {(r.tree, r.leaf): r["n"] for r in counted.collect()}
     if budget is None:
         budget = _budget(forest, sizes, pool, reps, longest, k, recall)
-    blocks = {place: -(-n // BLOCK_ROWS) for place, n in sizes.items()}
-    if max(blocks.values()) > 1:
-        table = spark.createDataFrame([(t, at, b) for (t, at), b in blocks.items()], "tree int, leaf int, blocks int")
-        index = index.join(F.broadcast(table), ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    else:
-        index = index.withColumn("block", F.lit(0))
+    shelves = _shelves(sizes)
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            x, ids = lengthened(matrix(part.column("vec")), longest), part.column("vec_id").to_numpy()
+            for n, tree in enumerate(forest):
+                leaf = tree.leaf_of(x)
+                shelf = np.array([shelves[n, at][0] for at in leaf.tolist()], np.int64)
+                spread_over = np.array([shelves[n, at][1] for at in leaf.tolist()], np.int64)
+                shelf += (ids * 0x9E3779B1 >> 7) % spread_over
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), n, np.int32)), pa.array(shelf), pa.array(leaf.astype(np.int32)), part.column("vec_id"), part.column("vec")], ["tree", "shelf", "leaf", "vec_id", "vec"])
+
+    index = pool.mapInArrow(put, f"tree int, shelf long, leaf int, vec_id long, vec {kind}")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             x = matrix(part.column("vec"))
             for a in range(0, len(x), 256):
-                who, tree, at, block = [], [], [], []
+                who, tree, shelf, taken_leaves = [], [], [], []
                 for n in range(a, min(a + 256, len(x))):
-                    taken = 0
+                    taken, there = 0, {}
                     for place in visit(forest, np.append(x[n], 0.0)):
-                        for b in range(blocks.get(place, 0)):
-                            who.append(n)
-                            tree.append(place[0])
-                            at.append(place[1])
-                            block.append(b)
+                        if place in shelves:
+                            first, blocks = shelves[place]
+                            for s in range(first, first + blocks):
+                                there.setdefault((place[0], s), []).append(place[1])
                         taken += sizes.get(place, 0)
                         if taken >= budget and taken > k:
                             break
+                    for (t, s), own in there.items():
+                        who.append(n)
+                        tree.append(t)
+                        shelf.append(s)
+                        taken_leaves.append(own)
                 who = pa.array(who, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(at, pa.int32()), pa.array(block, pa.int32()), part.column("rep").take(who), part.column("vec").take(who)], ["tree", "leaf", "block", "rep", "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(shelf, pa.int64()), pa.array(taken_leaves, pa.list_(pa.int32())), part.column("rep").take(who), part.column("vec").take(who)], ["tree", "shelf", "leaves", "rep", "vec"])
 
-    asked = spread(reps).mapInArrow(ask, f"tree int, leaf int, block int, rep long, vec {kind}")
+    asked = spread(reps).mapInArrow(ask, f"tree int, shelf long, leaves array<int>, rep long, vec {kind}")
 
     def compare(there: pa.Table, here: pa.Table) -> pa.Table:
-        who, ids, scores = [], [], []
-        own = there.column("vec_id").to_numpy()
-        rep = here.column("rep").to_numpy()
-        if len(own) and len(rep):
-            for n, places, score in _exact(matrix(here.column("vec")), matrix(there.column("vec")), own, k + 1):
-                who.append(np.full(len(places), rep[n]))
-                ids.append(own[places])
-                scores.append(score)
         none = np.empty(0, np.int64)
-        return pa.table({"rep": np.concatenate([none, *who]), "vec_id": np.concatenate([none, *ids]), "score": np.concatenate([np.empty(0), *scores])})
-
-    keys = ["tree", "leaf", "block"]
+        who, ids, scores = [none], [none], [np.empty(0)]
+        if there.num_rows and here.num_rows:
+            leaf = there.column("leaf").to_numpy()
+            order = np.argsort(leaf, kind="stable")
+            leaf, own, x = leaf[order], there.column("vec_id").to_numpy()[order], matrix(there.column("vec"))[order]
+            rep, q = here.column("rep").to_numpy(), matrix(here.column("vec"))
+            lists = here.column("leaves").combine_chunks()
+            asks, wanted = np.repeat(np.arange(len(rep)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+            for at in np.unique(leaf):
+                a, b = np.searchsorted(leaf, at), np.searchsorted(leaf, at, side="right")
+                visitors = asks[wanted == at]
+                for n, places, score in _exact(q[visitors], x[a:b], own[a:b], k + 1):
+                    who.append(np.full(len(places), rep[visitors[n]]))
+                    ids.append(own[a:b][places])
+                    scores.append(score)
+        who, ids, scores = map(np.concatenate, (who, ids, scores))
+        order = np.lexsort([ids, -scores, who])
+        who, ids, scores = who[order], ids[order], scores[order]
+        best = np.arange(len(who)) - np.searchsorted(who, who) <= k
+        return pa.table({"rep": who[best], "vec_id": ids[best], "score": scores[best]})
+
+    keys = ["tree", "shelf"]
     found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(compare, "rep long, vec_id long, score double")
     return ranked(found.dropDuplicates(["rep", "vec_id"]), members, k)

@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import spread, stored
 
-#: Rows of a block of vectors that is searched in one step.
-BLOCK_ROWS = 4096
-
 
 def usable(df: DataFrame, id_col: str, vec_col: str, nonzero: bool) -> DataFrame:
     """``(vec_id long, vec)`` of rows with an id and finite components only; short vectors are filled up with zeros.
