@@ -158,6 +158,7 @@ def spanning_links(nodes: DataFrame, radius: int, second_radius: int, segments:
 
     def compare(bucket: np.ndarray, probe: np.ndarray, node: np.ndarray, bits: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Spanning links among whole buckets, which come sorted, tables before probes."""
+        bits, second, third = (c.view(np.uint64) for c in (bits, second, third))  # bits of signed numbers count otherwise
         table, asks = np.flatnonzero(probe == 0), np.flatnonzero(probe == 1)
         low, high = (np.searchsorted(bucket[table], bucket[asks], side=s) for s in ("left", "right"))
         root: dict[int, int] = {}
@@ -174,9 +175,9 @@ def spanning_links(nodes: DataFrame, radius: int, second_radius: int, segments:
         for own in np.split(np.arange(len(asks)), np.flatnonzero(np.diff(turns)) + 1):
             at = np.repeat(asks[own], sizes[own])
             to = table[spans(low[own], sizes[own])]
-            near = np.bitwise_count(bits[at] ^ bits[to]) <= radius
-            near[near] = np.bitwise_count(second[at[near]] ^ second[to[near]]) + np.bitwise_count(third[at[near]] ^ third[to[near]]) <= second_radius
-            near &= node[at] != node[to]
+            near = np.flatnonzero((np.bitwise_count(bits[at] ^ bits[to]) <= radius) & (node[at] != node[to]))
+            at, to = at[near], to[near]
+            near = np.bitwise_count(second[at] ^ second[to]).astype(np.int64) + np.bitwise_count(third[at] ^ third[to]) <= second_radius
             for x, y in np.unique(np.sort(np.stack([node[at[near]], node[to[near]]], 1), axis=1), axis=0).tolist():
                 a, b = find(root.setdefault(x, x)), find(root.setdefault(y, y))
                 if a != b:
