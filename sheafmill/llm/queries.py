@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, exact_topk, forest, html_main, mixing, packing, quality, simhash, substring, warc
 from .common import read
+from .oracles import ORACLE_SQL  # noqa: F401
 
 
 def word_bpe_path() -> str:
@@ -73,5 +74,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html": op9_html,
     "op10_quality": op10_quality,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -33,12 +33,13 @@ from pyspark.sql import DataFrame, functions as F
 from .common import spread, text_slices
 
 WINDOW = 13
-GRAM = 3
+GRAM = 2
 HOT_SHARE = 20_000
 HOT_LEAST = 50
-SLICE = 8 << 20
+SLICE = 6 << 20
+ZSTD_LEVEL = 6
 #: Bytes of packed words in a bucket, and in one of its passes.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 6 << 20
 PASS_WORDS = 3_000_000
 LAST_ID = np.iinfo(np.int64).max  # where an id is null
 
@@ -204,7 +205,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     buckets = max(16, -(-3 * size // BUCKET_BYTES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=ZSTD_LEVEL)
         for part in text_slices(batches, "text", SLICE):
             words = _Words(part.column("text").cast(pa.binary()).to_pylist())
             id_ = np.array([LAST_ID if i is None else i for i in part.column("id").to_pylist()], np.int64)
