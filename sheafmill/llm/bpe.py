@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from .common import spans, text_slices
 
 #: Distinct chunks and words kept between slices of a partition; the cache starts anew beyond that, with the same results.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 250_000
 #: Text that shares one index; a longer text is an index of its own.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 #: Lists of fewer positions are merged one by one.
 FEW = 8
 #: Latin letters that have one lower-case form, in a composed text, whatever stands beside them.

@@ -34,7 +34,7 @@ CUT = 0.3
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 20
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 150_000
 
 _SHAPE = bytes(ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256))
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
@@ -247,11 +247,13 @@ def score(docs: DataFrame, id_col: str, text_col: str, model: Model, cut: float
     taken = [id_col, *(c for c in keep if c != id_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "scored text"):
-            p = model.scores(part.column("scored text").to_pylist())
+        for part in text_slices(batches, text):
+            p = model.scores(part.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*(part.column(f"kept {n}") for n in range(len(taken))), part.column("held out"), pa.array(p), pa.array((p >= cut).astype(np.int32))], [*(f"kept {n}" for n in range(len(taken))), "held out", "score", "predicted"])
 
-    chosen = [*(F.col(c).alias(f"kept {n}") for n, c in enumerate(taken)), F.coalesce(~training_rows(id_col), F.lit(False)).alias("held out"), F.col(text_col).alias("scored text")]
+    text = f"kept {taken.index(text_col)}" if text_col in taken else "scored text"  # a text that is kept is sent once
+    chosen = [*(F.col(c).alias(f"kept {n}") for n, c in enumerate(taken)), F.coalesce(~training_rows(id_col), F.lit(False)).alias("held out")]
+    chosen += [F.col(text_col).alias(text)] if text_col not in taken else []
     kinds = [f"`kept {n}` {docs.schema[c].dataType.simpleString()}" for n, c in enumerate(taken)]
     found = docs.select(*chosen).mapInArrow(run, ", ".join([*kinds, "`held out` boolean, score double, predicted int"]))
     return found.select(*(F.col(f"kept {n}").alias(c) for n, c in enumerate(taken)), F.col("held out").alias("held_out"), "score", "predicted")
