@@ -28,6 +28,7 @@ SECTION_TYPE = T.ArrayType(
 
 # Elements whose text is not part of the page text.
 SILENT_ELEMENTS = {"script", "style", "template", "rt", "rp"}
+RUBY_PARTS = {"rt", "rp"}
 
 
 class _SectionWalk(HTMLParser):
@@ -37,11 +38,12 @@ class _SectionWalk(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.page, self.sections = [], []
         self._open = []  # one entry per open div: (section it starts, title it starts)
-        self._silent = 0
+        self._silent = []  # open silent elements with the number of divs around each
 
     def handle_starttag(self, tag, attrs):
         if tag in SILENT_ELEMENTS:
-            self._silent += 1
+            self._end_ruby(tag in RUBY_PARTS)
+            self._silent.append((tag, len(self._open)))
         if tag != "div":
             return
         attrs = dict(attrs)
@@ -58,10 +60,20 @@ class _SectionWalk(HTMLParser):
         self._open.append((section, title))
 
     def handle_endtag(self, tag):
-        if tag in SILENT_ELEMENTS and self._silent:
-            self._silent -= 1
+        if tag in SILENT_ELEMENTS:
+            last = next((n for n in range(len(self._silent) - 1, -1, -1) if self._silent[n][0] == tag), None)
+            if last is not None:
+                del self._silent[last:]
+        self._end_ruby(tag == "ruby")
         if tag == "div" and self._open:
             self._open.pop()
+            while self._silent and self._silent[-1][1] > len(self._open):
+                self._silent.pop()
+
+    def _end_ruby(self, ends):
+        """Parts of a ruby text may stay open until the next part or the end of the ruby element."""
+        while ends and self._silent and self._silent[-1][0] in RUBY_PARTS:
+            self._silent.pop()
 
     def handle_data(self, data):
         piece = data.strip()

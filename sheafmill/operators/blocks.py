@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_VALUES = 16_000_000
 MAX_BLOCK_ROWS = 2_000
+#: Values of differences that are formed at a time.
+NEAR_VALUES = 4_000_000
 
 
 def block_rows(width: int) -> int:
@@ -46,10 +48,12 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact for equal rows: differences are formed where the expanded form would cancel."""
     rough = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
     scale = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
-    near = np.argwhere(rough <= 1e-7 * scale)
-    for i, j in near:
+    rows, cols = np.nonzero(rough <= 1e-7 * scale)
+    step = max(1, NEAR_VALUES // max(a.shape[1], 1))
+    for at in range(0, len(rows), step):
+        i, j = rows[at : at + step], cols[at : at + step]
         diff = a[i] - b[j]
-        rough[i, j] = diff @ diff
+        rough[i, j] = np.einsum("ij,ij->i", diff, diff)
     return np.maximum(rough, 0.0)
 
 

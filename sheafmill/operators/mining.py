@@ -171,9 +171,13 @@ def rules_by_category(
     At most ``top_categories`` runs, each over the rows of one category in parallel.
     """
     parts = None
-    for row in largest_categories(df, category_col, top_categories).select(category_col).collect():
-        rows = df.where(F.col(category_col) == row[0])
+    baskets = cut_lineage(df.select(F.col(category_col).alias(category_col), F.col(items_col).alias(items_col)))
+    for row in largest_categories(baskets, category_col, top_categories).select(category_col).collect():
+        rows = baskets.where(F.col(category_col).eqNullSafe(F.lit(row[0])))
         sets = frequent_itemsets(transactions(rows, items_col, top_n), min_support)
         rules = association_rules(sets, min_lift).withColumn("category", F.lit(row[0]))
         parts = rules if parts is None else parts.unionByName(rules)
+    if parts is None:
+        sets = frequent_itemsets(transactions(baskets, items_col, top_n), min_support)
+        parts = association_rules(sets, min_lift).withColumn("category", F.lit(None).cast(df.schema[category_col].dataType)).limit(0)
     return parts

@@ -551,11 +551,18 @@ def fea_8_hybrid_stack(spark, d):
     return _summary(table, "flat", "section", "hybrid")
 
 
+def _embedded(spark, d, rows):
+    """All rows, each with the vector whose number is its id modulo the vectors."""
+    vecs = views.vecs(spark, d)
+    keyed = rows.withColumn("_vec", F.col("doc_id") % vecs.count())
+    return embed.require_embeddings(embed.with_embeddings(keyed, "_vec", vecs, "vec_id", "embedding", "emb").drop("_vec"), ["emb"])
+
+
 @query
 def fea_15_all_modes(spark, d):
-    """All five feature sets of the profiles that have an embedding."""
+    """All five feature sets of all profiles."""
     rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
-    rows = embed.with_embeddings(rows, "doc_id", views.vecs(spark, d), "vec_id", "embedding", "emb")
+    rows = _embedded(spark, d, rows)
     _, table = features.fit_features(
         rows, "full_text", "category", ["doc_id", "category", "split"], ["emb"], latent_components=8, svd_iterations=1
     )
@@ -579,14 +586,14 @@ def fea_10_standardised(spark, d):
 @query
 def fea_10_semantic_features(spark, d):
     rows = features.with_section_terms(splits.stratified_split(views.section_table(spark, d), "doc_id", "category"))
-    joined = embed.with_embeddings(rows, "doc_id", views.vecs(spark, d), "vec_id", "embedding", "emb")
+    joined = _embedded(spark, d, rows)
     fitted = embed.fit_semantic(_train(joined), ["emb"], "full_text")
     return _summary(fitted.transform(joined), "semantic")
 
 
 @query
 def fea_11_combined(spark, d):
-    rows = embed.with_embeddings(_split_docs(spark, d), "doc_id", views.vecs(spark, d), "vec_id", "embedding", "emb")
+    rows = _embedded(spark, d, _split_docs(spark, d))
     model = tfidf.fit_tfidf(_train(rows), "terms", 500)
     flat = model.transform(rows, "terms", "flat").withColumn("semantic", vectors.from_array(F.col("emb"), 64))
     both = flat.withColumn("combined", features.combined(F.col("flat"), model.width, F.col("semantic"), 64))

@@ -241,7 +241,7 @@ def feature_queries() -> dict[str, str]:
       SELECT doc_id, split, ({vocab} + 8)::INTEGER AS section_width, (coalesce(n, 0) + 8)::INTEGER AS section_entries,
         round(sqrt(coalesce(q, 0) + {numbers}), 6) AS section_length FROM s_rows JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
     )
-    emb_rows = "e_rows AS (SELECT flat_rows.*, embedding FROM flat_rows JOIN embeddings ON doc_id = vec_id)"
+    emb_rows = "e_rows AS (SELECT flat_rows.*, embedding FROM flat_rows JOIN embeddings ON doc_id % (SELECT count(*) FROM embeddings) = vec_id)"
     q["fea_11_combined"] = (
         "WITH " + FLAT_ROWS + ", " + emb_rows + ", " + sql_tfidf("e_rows", "terms", 500)
         + """, t AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM x_weights GROUP BY doc_id)
@@ -250,7 +250,7 @@ def feature_queries() -> dict[str, str]:
       FROM e_rows LEFT JOIN t USING (doc_id)"""
     )
     q["fea_9_embedding_join"] = """SELECT doc_id, len(embedding)::INTEGER AS dims, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total
-      FROM documents JOIN embeddings ON doc_id = vec_id"""
+      FROM documents LEFT JOIN embeddings ON doc_id = vec_id"""
     cells = "(SELECT vec_id, generate_subscripts(embedding, 1)::INTEGER - 1 AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)"
     q["fea_10_standardised"] = f"SELECT vec_id, i, round((v - avg(v) OVER (PARTITION BY i)) / stddev_pop(v) OVER (PARTITION BY i), 6) AS value FROM {cells}"
     chi = flat + """, shares AS (SELECT category, count(*) / sum(count(*)) OVER () AS p FROM flat_rows WHERE split = 'train' GROUP BY category),
@@ -289,8 +289,8 @@ def cluster_queries() -> dict[str, str]:
     q["res_1_smote_counts"] = f"{grown} (SELECT label, count(*) AS n FROM ({train}) WHERE split = 'train' GROUP BY label)"
     q["res_1_smote_rows"] = f"{grown} (SELECT label, count(*) AS n FROM embeddings GROUP BY label)"
     q["eva_4_silhouette"] = f"""
-      WITH s AS (SELECT * FROM {vec} ORDER BY md5('42-' || id), id LIMIT 2000),
-      p AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
+      WITH s AS (SELECT * FROM {vec}),
+      p AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x) ** 2) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
       i AS (SELECT id, total / (n - 1) AS inside FROM p WHERE own = other AND n > 1),
       o AS (SELECT id, min(total / n) AS outside FROM p WHERE own <> other GROUP BY id)
       SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 6) AS silhouette FROM o LEFT JOIN i USING (id)"""

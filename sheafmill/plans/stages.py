@@ -6,12 +6,13 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.html import section_coverage, with_sections
 from ..functions.text import degree_histogram, token_statistics, with_section_attributes
-from ..operators import classify, cluster, features, graph, labels, metrics, mining, splits
+from ..operators import classify, cluster, embed, features, graph, labels, metrics, mining, splits
 from ..session import cut_lineage
 from ..sources import documents, stored
 
@@ -45,11 +46,14 @@ def parsing_report(parsed: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_features(spark: SparkSession, work: str, embeddings: tuple[DataFrame, str, list[str]] | None = None, **sizes) -> DataFrame:
+def run_features(
+    spark: SparkSession, work: str, embeddings: tuple[DataFrame, str, list[str]] | None = None, make_predict_fn: Callable | None = None, **sizes
+) -> DataFrame:
     """Feature table of all modes, fitted on the training split.
 
-    ``embeddings`` is a table with its id and vector columns; without it the semantic and combined
-    modes are left out. They are joined once and the result is stored, so that the passes of the
+    ``embeddings`` is a table with its id and vector columns, ``make_predict_fn`` an encoder for
+    all documents (see ``embed.encode_documents``); without both the semantic and combined modes are left out.
+    A document that the table lacks is an error: none is dropped. Embeddings are joined or computed once and the result is stored, so that the passes of the
     fit read single columns of it. ``sizes`` are the size parameters of ``fit_features``.
     """
     rows = documents.load_splits(spark, f"{work}/parsed")
@@ -59,8 +63,12 @@ def run_features(spark: SparkSession, work: str, embeddings: tuple[DataFrame, st
     if embeddings is not None:
         table, table_id, names = embeddings
         columns = [F.col(c).cast("array<double>").alias(c) for c in names]
-        joined = rows.join(table.select(F.col(table_id).alias(ID), *columns), ID)
+        vectors = table.select(F.col(table_id).alias(ID), *columns).dropDuplicates([ID])
+        joined = embed.require_embeddings(rows.join(vectors, ID, "left"), names)
         rows = stored.write_stage(joined, f"{work}/parsed_with_embeddings")
+    elif make_predict_fn is not None:
+        encoded, names = embed.encode_documents(rows, TEXT, make_predict_fn)
+        rows = stored.write_stage(encoded, f"{work}/parsed_with_embeddings")
     fitted, table = features.fit_features(rows, TEXT, "label", [ID, "label", "split"], names, **sizes)
     stored.save_feature_set(spark, fitted, f"{work}/feature_set")
     encoder.write().overwrite().save(f"{work}/label_encoder")

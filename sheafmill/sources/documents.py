@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..session import checked_broadcast
 from ..functions.fixed_values import HEADER_ALIASES
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
@@ -39,7 +40,7 @@ def with_dense_ids(df: DataFrame, out: str = "ID") -> DataFrame:
     sizes = marked.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
     earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    numbered = marked.join(starts, ["_file", "_block"])
+    numbered = marked.join(checked_broadcast(starts), ["_file", "_block"])
     return numbered.select((F.col("_start") + F.col("_m") - F.col("_first")).cast("bigint").alias(out), *df.columns)
 
 

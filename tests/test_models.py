@@ -76,8 +76,28 @@ def test_silhouette(spark):
         b = min(dist[i, lab == c].mean() for c in set(lab) - {lab[i]})
         scores.append((b - a) / max(a, b))
     df = points_table(spark, data, lab)
-    assert abs(silhouette.silhouette(df, "id", "x", "label").first().silhouette - np.mean(scores)) < 1e-9
-    assert silhouette.silhouette(df.where("label = 0"), "id", "x", "label").first().silhouette is None
+    assert abs(silhouette.silhouette(df, "id", "x", "label", sample_size=100).first().silhouette - np.mean(scores)) < 1e-9
+    for size in (None, 100):
+        assert silhouette.silhouette(df.where("label = 0"), "id", "x", "label", sample_size=size).first().silhouette is None
+
+
+def test_silhouette_over_all_rows(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(2600, 4)) + 1000  # far from the origin, where expanded squares would cancel
+    lab = rng.integers(0, 3, 2600)
+    data[:, 0] += lab
+    lab[0] = 9
+    dist = ((data[:, None] - data[None]) ** 2).sum(2)
+    sums = np.stack([dist[:, lab == c].sum(1) for c in (0, 1, 2, 9)], 1)
+    size = np.array([(lab == c).sum() for c in (0, 1, 2, 9)])
+    own = np.searchsorted([0, 1, 2, 9], lab)
+    inside = sums[np.arange(2600), own] / np.maximum(size[own] - 1, 1)
+    mean = sums / size
+    mean[np.arange(2600), own] = np.inf
+    outside = mean.min(1)
+    want = np.where(size[own] == 1, 0.0, (outside - inside) / np.maximum(inside, outside)).mean()
+    df = points_table(spark, data, lab).repartition(5)
+    assert abs(silhouette.silhouette(df, "id", "x", "label").first().silhouette - want) < 1e-6
 
 
 def test_reduced_shape(spark):
