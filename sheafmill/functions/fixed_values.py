@@ -210,4 +210,51 @@ IRREGULAR_NOUNS = {
     "knives": "knife",
     "shelves": "shelf",
     "halves": "half",
+    "acoustics": "acoustics",
+    "aerodynamics": "aerodynamics",
+    "always": "always",
+    "analytics": "analytics",
+    "athletics": "athletics",
+    "atlas": "atlas",
+    "bias": "bias",
+    "canvas": "canvas",
+    "christmas": "christmas",
+    "dynamics": "dynamics",
+    "economics": "economics",
+    "electronics": "electronics",
+    "ergonomics": "ergonomics",
+    "genetics": "genetics",
+    "gymnastics": "gymnastics",
+    "kansas": "kansas",
+    "lens": "lens",
+    "linguistics": "linguistics",
+    "logistics": "logistics",
+    "mathematics": "mathematics",
+    "news": "news",
+    "obstetrics": "obstetrics",
+    "orthopedics": "orthopedics",
+    "pediatrics": "pediatrics",
+    "perhaps": "perhaps",
+    "physics": "physics",
+    "politics": "politics",
+    "robotics": "robotics",
+    "series": "series",
+    "species": "species",
+    "texas": "texas",
+    "thermodynamics": "thermodynamics",
+    "whereas": "whereas",
+    "calories": "calorie",
+    "cookies": "cookie",
+    "movies": "movie",
+    "rookies": "rookie",
+    "selfies": "selfie",
+    "zombies": "zombie",
+    "biases": "bias",
+    "bonuses": "bonus",
+    "buses": "bus",
+    "campuses": "campus",
+    "canvases": "canvas",
+    "gases": "gas",
+    "statuses": "status",
+    "viruses": "virus",
 }

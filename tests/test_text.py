@@ -128,3 +128,16 @@ def test_handcrafted(spark):
     assert rows == [[5.0, 4.0, 2.0, 2.0, 1.0, 0.0, 12.0, 3.0], [0.0] * 8] and len(BASE_NAMES) == 8
     codes = spark.createDataFrame([("bachelors",), ("masters",), ("phd",), (None,)], "l string")
     assert [r.c for r in codes.select(degree_code(F.col("l")).alias("c")).collect()] == [4, 5, 6, 0]
+
+
+LEMMAS = {
+    "series": "series", "species": "species", "movies": "movie", "cookies": "cookie", "news": "news", "bias": "bias", "texas": "texas",
+    "physics": "physics", "economics": "economics", "analytics": "analytics", "logistics": "logistics", "buses": "bus", "biases": "bias",
+    "companies": "company", "processes": "process", "boxes": "box", "metrics": "metric", "houses": "house", "status": "status", "statuses": "status",
+    "skills": "skill", "analysis": "analysis", "analyses": "analysis", "women": "woman", "class": "class", "databases": "database", "viruses": "virus",
+}
+
+
+def test_lemmas_written_by_hand(spark):
+    df = spark.createDataFrame([(w,) for w in LEMMAS], "w string")
+    assert {r.w: r.l for r in df.select("w", text.noun_lemma(F.col("w")).alias("l")).collect()} == LEMMAS
