@@ -1,7 +1,5 @@
 import pytest
 
-from sheafmill.llm.queries import QUERIES
-
 
 @pytest.fixture(scope="session")
 def odd_documents(spark):
@@ -13,7 +11,3 @@ def odd_documents(spark):
         (9, base.upper(), "x", 6), (2, base + " indeed", "y", 1), (None, base, "none", 7), (11, "Zoë " + base + " extra words " + base, "x", 8),
     ]
     return spark.createDataFrame(rows, "doc_id long, text string, id string, n_words int")
-
-
-def brute_force_names():
-    return list(QUERIES)
