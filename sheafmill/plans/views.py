@@ -33,11 +33,11 @@ SELECT c_custkey AS doc_id, c_mktsegment AS category, c_acctbal AS balance, c_na
     WHEN 6 THEN 1 ELSE 0 END AS job_rank,
   1 + c_custkey % 31 AS years,
   CASE WHEN c_custkey % 5 = 4 THEN 0 ELSE 1 + c_custkey % 31 END AS years_named,
-  CASE c_custkey % 5 WHEN 0 THEN '@+ years of experience' WHEN 1 THEN 'over @ years in software'
+  CASE c_custkey % 5 WHEN 0 THEN '@+ years of experience' WHEN 1 THEN 'over @ years in forestry'
     WHEN 2 THEN '@ yrs working abroad' WHEN 3 THEN 'about @ yrs, @ years of exp' ELSE 'worked with teams' END AS years_phrase,
-  CASE c_custkey % 8 WHEN 0 THEN 'PhD in Statistics' WHEN 1 THEN 'Master of Science in Data' WHEN 2 THEN 'MBA from Harvard'
-    WHEN 3 THEN 'Bachelor of Arts in English' WHEN 4 THEN 'Associate''s degree in Nursing'
-    WHEN 5 THEN 'Diploma in Design' WHEN 6 THEN 'Central High School' ELSE 'studied abroad' END AS degree_src,
+  CASE c_custkey % 8 WHEN 0 THEN 'PhD in Geology' WHEN 1 THEN 'Master of Science in Forestry' WHEN 2 THEN 'MBA from Utrecht'
+    WHEN 3 THEN 'Bachelor of Arts in Music' WHEN 4 THEN 'Associate''s degree in Welding'
+    WHEN 5 THEN 'Diploma in Ceramics' WHEN 6 THEN 'Riverside High School' ELSE 'courses by post' END AS degree_src,
   CASE c_custkey % 8 WHEN 0 THEN 'phd' WHEN 1 THEN 'masters' WHEN 2 THEN 'masters' WHEN 3 THEN 'bachelors'
     WHEN 4 THEN 'associates' WHEN 5 THEN 'diploma' WHEN 6 THEN 'high_school' ELSE 'unknown' END AS degree_named
 FROM {customer}
