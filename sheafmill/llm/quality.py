@@ -49,11 +49,16 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def forget() -> None:
+    """Give the cache of known chunks back; a worker may take another stage next."""
+    _known.clear()
+    _hashes[:] = [array("Q"), array("Q")]
+
+
 def indicators(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """The features of all texts in one array, each once per text, and the offsets of each text. Feature 0 is on in all."""
     if len(_known) > KNOWN_CHUNKS:
-        _known.clear()
-        _hashes[:] = [array("Q"), array("Q")]
+        forget()
     order, counts = array("q"), []
     for text in texts:
         chunks = text.encode("utf-8").split() if text else ()
@@ -181,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             if len(drawn):
                 rows = [features[offsets[i] : offsets[i + 1]] for i in drawn]
                 yield batch([-1] * len(drawn), label[drawn].tolist(), rows, [None] * len(drawn))
+        forget()
         if sum(seen):
             yield batch([BLOCKS, *range(BLOCKS)], [0] * (BLOCKS + 1), [seen[:1], *counts[0].reshape(BLOCKS, width)], [seen[1:], *counts[1].reshape(BLOCKS, width)])
 
@@ -250,6 +256,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, model: Model, cut: float
         for part in text_slices(batches, text):
             p = model.scores(part.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*(part.column(f"kept {n}") for n in range(len(taken))), part.column("held out"), pa.array(p), pa.array((p >= cut).astype(np.int32))], [*(f"kept {n}" for n in range(len(taken))), "held out", "score", "predicted"])
+        forget()
 
     text = f"kept {taken.index(text_col)}" if text_col in taken else "scored text"  # a text that is kept is sent once
     chosen = [*(F.col(c).alias(f"kept {n}") for n, c in enumerate(taken)), F.coalesce(~training_rows(id_col), F.lit(False)).alias("held out")]
