@@ -4,7 +4,9 @@ Every record is a gzip member of its own. Spark's text sink writes the members,
 by Spark's own protocol to whatever storage the path names; its line separator is an empty gzip member,
 which holds no data. The reader takes compressed and plain archives. After a failed check it searches
 for the next member that opens with a version line, or the next version line, reads on from there, and
-logs the bytes between as a gap.
+logs the bytes between as a gap. A member may hold several records: after a failed one the reader goes on
+at the next version line of its content, and of a broken member it keeps the records that pass their own checks (a digest covers the payload, not the
+header), unless it holds one record only, which must be the broken one.
 
 Payloads with equal SHA-1 and at least ``least_bytes`` bytes are stored once: the record of the largest
 id is the response, the others revisit it.
@@ -31,8 +33,6 @@ LEVEL = 3
 EMPTY = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + b"\x00" * 8
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/\d\.\d\r?\n")
-#: A plain record is cut out of its file only if its header block ends within so many bytes.
-HEADER_BYTES = 1 << 16
 #: Bytes of an archive that are unpacked at a time.
 CHUNK = 1 << 15
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -90,7 +90,7 @@ def _parse(data: bytes, at: int) -> tuple[Record, int]:
     first = _VERSION_LINE.match(data, at)
     if not first:
         raise ValueError("no version line")
-    end, skip = data.find(b"\r\n\r\n", at, at + HEADER_BYTES), 4
+    end, skip = data.find(b"\r\n\r\n", at), 4
     if end < 0:
         raise ValueError("unfinished header")
     headers = {}
@@ -113,18 +113,43 @@ def _parse(data: bytes, at: int) -> tuple[Record, int]:
     return Record(at, headers, payload), stop + 4
 
 
-def _unpack(data: bytes, at: int) -> tuple[bytes, int]:
-    """A gzip member's content and the position after it; ``ValueError`` if a check fails."""
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """A gzip member's content, the position after it, and what is wrong with it: then the content is as much as could be unpacked."""
     reader, parts, fed = zlib.decompressobj(31), [], at
-    try:
-        while not reader.eof and fed < len(data):
+    while not reader.eof and fed < len(data):
+        before = reader.copy()
+        try:
             parts.append(reader.decompress(data[fed : fed + CHUNK]))
-            fed = min(len(data), fed + CHUNK)
-    except zlib.error as error:
-        raise ValueError(str(error)) from None
-    if not reader.eof:
-        raise ValueError("unfinished member")
-    return b"".join(parts), fed - len(reader.unused_data)
+        except zlib.error as error:
+            return b"".join([*parts, _rest(before, data[fed : fed + CHUNK])]), fed, str(error)
+        fed = min(len(data), fed + CHUNK)
+    return b"".join(parts), fed - len(reader.unused_data), "" if reader.eof else "unfinished member"
+
+
+def _rest(reader, chunk: bytes) -> bytes:
+    """What a chunk that fails gives before it does."""
+    parts, size = [], len(chunk)
+    while size:
+        before = reader.copy()
+        try:
+            parts.append(reader.decompress(chunk[:size]))
+            chunk = chunk[size:]
+            size = min(size, len(chunk))
+        except zlib.error:
+            reader, size = before, size // 2
+    return b"".join(parts)
+
+
+def _parse_all(content: bytes) -> Iterator[tuple[Record | None, str]]:
+    """The records of a member's content; in place of what is in none of them, the reason."""
+    at = 0
+    while at < len(content):
+        try:
+            rec, at = _parse(content, at)
+            yield rec, ""
+        except ValueError as error:
+            at = _next_start(content, at + 1, False)
+            yield None, str(error)
 
 
 def _opens_record(data: bytes, at: int) -> bool:
@@ -149,32 +174,39 @@ def _next_start(data: bytes, at: int, packed: bool) -> int:
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """All records that pass their checks, and a gap for each stretch of bytes in none of them."""
+    """All records that pass their checks, and a gap for each stretch of bytes in none of them.
+
+    A member that is broken, or holds bytes in no record, is a gap as a whole; its records come before it.
+    """
     at, gap, reason = 0, -1, ""
     packed = data.startswith(_MAGIC) or not _VERSION_LINE.match(data) and _MAGIC in data
     while at < len(data):
         found: list[Record] = []
-        try:
-            if packed:
-                content, after = _unpack(data, at)
-                inner = 0
-                while inner < len(content):
-                    rec, inner = _parse(content, inner)
-                    rec.offset = at
-                    found.append(rec)
-            else:
+        wrong = ""
+        if packed:
+            content, after, broken = _unpack(data, at)
+            parsed = list(_parse_all(content))
+            wrong = next((failed for _, failed in [(None, broken), *parsed] if failed), "")
+            if not broken or len(parsed) > 1:  # the only record of a broken member is the broken one
+                found = [rec for rec, _ in parsed if rec]
+            for rec in found:
+                rec.offset = at
+        else:
+            try:
                 rec, after = _parse(data, at)
                 found.append(rec)
-        except ValueError as error:
-            if gap < 0:
-                gap, reason = at, str(error)
-            at = _next_start(data, at + 1, packed)
-            continue
-        if gap >= 0:
+            except ValueError as error:
+                wrong = str(error)
+        if gap >= 0 and (found or not wrong):
             yield Gap(gap, at - gap, reason)
             gap = -1
         yield from found
-        at = after
+        if not wrong:
+            at = after
+            continue
+        if gap < 0:
+            gap, reason = at, wrong
+        at = _next_start(data, at + 1, packed)
     if gap >= 0:
         yield Gap(gap, len(data) - gap, reason)
 

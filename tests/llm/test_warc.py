@@ -61,3 +61,45 @@ def test_pages(spark):
 def test_least_bytes(spark):
     pages = spark.createDataFrame([(1, "a", "abc"), (2, "b", "abc")], "page_id long, url string, html string")
     assert {r.record_type for r in warc.round_trip(pages, "page_id", "url", "html", least_bytes=4).collect()} == {"response"}
+
+
+def test_header_of_any_length(spark):
+    url = "http://h/" + "\n" * 40_000  # three bytes each when encoded
+    found = list(warc.salvage(warc.member(warc.record(1, url, b"body", None))))
+    assert [type(f) for f in found] == [warc.Record] and found[0].payload == b"body" and len(found[0].headers["warc-target-uri"]) > 100_000
+    pages = spark.createDataFrame([(1, url, "abc")], "page_id long, url string, html string")
+    assert [r.page_id for r in warc.round_trip(pages, "page_id", "url", "html").collect()] == [1]
+
+
+def test_bad_record_inside_a_member_loses_only_itself():
+    parts = [warc.record(i, f"http://h/{i}", b"payload %d" % i * 50, None) for i in range(4)]
+    parts[1] = parts[1].replace(b"payload 1payload", b"payload 1pAyload", 1)
+    other = warc.member(warc.record(9, "http://h/9", b"nine", None))
+    data = warc.member(b"".join(parts)) + other
+    found = list(warc.salvage(data))
+    assert [f.headers["warc-record-id"] for f in found if isinstance(f, warc.Record)] == [f"<urn:page:{n}>" for n in (0, 2, 3, 9)]
+    gaps = [f for f in found if isinstance(f, warc.Gap)]
+    assert [(g.offset, g.length, g.reason) for g in gaps] == [(0, len(data) - len(other), "wrong payload digest")]
+
+
+@pytest.mark.parametrize("harm", ["cut", "flip"])
+def test_broken_member_gives_the_records_before_the_break(harm):
+    import random
+
+    rng = random.Random(3)
+    parts = [warc.record(i, f"http://h/{i}", rng.randbytes(20_000), None) for i in range(6)]
+    data = bytearray(warc.member(b"".join(parts)))
+    if harm == "cut":
+        data = data[: len(data) * 7 // 10]
+    else:
+        data[-6] ^= 1  # the checksum
+    found = list(warc.salvage(bytes(data)))
+    kept = [f.headers["warc-record-id"] for f in found if isinstance(f, warc.Record)]
+    assert kept == [f"<urn:page:{n}>" for n in range(4 if harm == "cut" else 6)]
+    assert [type(f) for f in found][-1] is warc.Gap
+
+
+def test_only_record_of_a_broken_member_is_a_gap():
+    data = bytearray(warc.member(warc.record(1, "http://h/1", b"one", None)))
+    data[-6] ^= 1
+    assert [type(f) for f in warc.salvage(bytes(data))] == [warc.Gap]
