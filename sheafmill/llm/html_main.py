@@ -1,23 +1,30 @@
 """Main text of web pages, by template deduction over equivalence classes.
 
-A page is a sequence of tokens: opening and closing tags (with class, id and role) and runs of text. Within
-a host, tokens with one occurrence vector - as many times on each page - form an equivalence class.
-A vector is kept as sums of hashes of (page, count), so classes come from one aggregate by (host, token),
-combined in each task first; no host is gathered anywhere. A class is valid if it is on nearly all of the
-host's pages, often enough, and has several tokens. On a page its tokens must follow in one order; classes
-that occur once span the page, those that occur more often nest in one of its slots.
-
-Valid classes are the template. What they leave, the slots, is data. The main text is the data inside the
-article: the ``article`` or ``main`` elements, or else the deepest template element that holds most of the
-text. Inside it, elements that say what they are (menus, asides, forms, adverts, comments, ...) and text
-that belongs to the template go. If the template would take most of the article, the host's pages are
-copies of each other and the text stays.
+A page is a sequence of tokens: opening and closing tags (with class, id and role) and runs of text, each
+told apart by the names of the elements around it. Within a host, tokens with one occurrence vector - as
+many times on each page - form an equivalence class. A vector is kept as sums of hashes of (page, count), so
+classes come from one aggregate by (host, token), combined in each task first. Only tokens on nearly all of
+a host's pages are gathered by host, which are no more than a page has. Pages with equal content count once,
+so copies do not make a template.
+
+A class has several tokens, and they follow in one order: that of their mean places. A second pass tests it.
+On each page the longest stretch of a class's tokens in that order is in order; the class of the tokens that
+are once on every page is the spine, and its tokens in order part the page into slots. The tokens of other
+classes repeat in their order, cycle after cycle, and nest in the spine: in one slot, or as often in the
+same slots. A token is template if this holds, in one way, on nearly all pages.
+
+What the template leaves, the slots, is data. A run of text belongs to the template only where it stands in
+order and in its slot. The main text is the data inside the article: the ``article`` or ``main`` elements, or
+else the deepest template element that holds most of the data. Inside it, elements that say what they are
+(menus, asides, forms, adverts, comments, ...) and text that belongs to the template go. An article that has
+no data at all is the same on all pages of its host; its text stays.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,15 +32,17 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import checked_broadcast
-from .common import spread, text_slices
+from .common import spread, stored, text_slices
 
 LEAST_PAGES = 5
 SUPPORT = 0.95
 CLASS_SIZE = 3
 MOST_OF_TEXT = 0.6
+#: Hosts whose templates are broadcast; those of more are joined.
+BROADCAST_HOSTS = 5_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -59,6 +68,9 @@ class Element:
     article: bool
     chars: int = 0
     parent: Element | None = None
+    says: bool = False  # by a word in class, id or role
+    path: int = 0
+    token: int = 0
 
 
 @dataclass
@@ -87,11 +99,7 @@ def parse(text: str | None) -> Page:
                 clean = entities.unescape(token)
                 top = stack[-1]
                 page.runs.append((len(page.tokens), clean, top, broken))
-                page.tokens.append(_hash("=" + " ".join(clean.split())))
-                if not top.outside:
-                    n = len(clean)
-                    for e in stack:
-                        e.chars += n
+                page.tokens.append(_hash(f"{top.path:x}=" + " ".join(clean.split())))
                 broken = clean[-1:].isspace()
             else:
                 broken = True
@@ -103,40 +111,64 @@ def parse(text: str | None) -> Page:
         if token[1] == "/":
             at = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].name == name), 0)
             if at:
-                page.tokens.append(_hash("/" + stack[at].key))
+                page.tokens.append(_hash(f"{stack[at].path:x}/{stack[at].key}"))
                 broken |= any(e.name not in INLINE for e in stack[at:])
                 del stack[at:]
             continue
         marks = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(token)}
         key = ".".join([name, *(f"{k}={v}" for k, v in sorted(marks.items()))])
-        page.tokens.append(_hash("<" + key))
         if name not in INLINE:
             broken = True
         if name in VOID or token.endswith("/>") and name not in ("p", "div", "li"):
+            page.tokens.append(_hash(f"{stack[-1].path:x}<{key}"))
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):  # closed by the next of their kind
             at = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].name not in INLINE), 0)
             if at and stack[at].name == name:
                 del stack[at:]
         top = stack[-1]
-        words = set(_PART.findall(" ".join(marks.get(k, "") for k in ("class", "id", "role"))))
-        says = name in OUTSIDE or name not in WHOLE and bool(words & OUTSIDE_WORDS) or name == "article" and bool(words & {"comment", "comments", "reply"})
-        says |= name == "header" and not any(e.article for e in stack)
-        own = Element(name, key, top.outside or says, name in ("article", "main") or marks.get("role") == "main" or "articlebody" in marks.get("itemprop", ""), 0, top)
+        marked = name not in WHOLE and _outside_words(marks)
+        if name == "article":
+            marked = any(w in ("comment", "comments", "reply") for k in ("class", "id", "role") for w in marks.get(k, "").split())
+        named = name in OUTSIDE or name == "header" and not any(e.article for e in stack)
+        own = Element(name, key, named, name in ("article", "main") or marks.get("role") == "main" or "articlebody" in marks.get("itemprop", ""), 0, top, marked)
+        own.path = _hash(f"{top.path:x}>{name}")
+        own.token = _hash(f"{own.path:x}<{key}")
+        page.tokens.append(own.token)
         page.elements.append(own)
         stack.append(own)
+    _settle(page)
     return page
 
 
-def _container(page: Page, template: frozenset[int]) -> list[Element]:
-    articles = [e for e in page.elements if e.article and not e.outside and e.chars]
-    for wanted in (lambda e: e.name == "article", lambda e: True):
-        found = [e for e in articles if wanted(e)]
-        if found:
-            return found
+def _outside_words(marks: dict[str, str]) -> bool:
+    """Whether a whole word of class, id or role says that the element is outside; ``ad-box`` and ``cookie-notice`` are words too."""
+    return bool(set(_PART.findall(" ".join(marks.get(k, "") for k in ("class", "id", "role")))) & OUTSIDE_WORDS)
+
+
+def _settle(page: Page) -> None:
+    """What is outside: elements by name or word and all in them. A word does not count where a main element, or the page's only articles, lie inside."""
+    for e in page.elements:
+        e.outside |= e.says or e.parent is not None and e.parent.outside
+
+
+def _container(page: Page, places: dict[int, tuple[int, int, int]], template: set[int]) -> list[Element]:
+    """The articles, or else the deepest template element with most of the text that is not template."""
+    shown = [(at, len(clean), e) for at, clean, e, _ in page.runs if not e.outside]
+    slots = shown
+    for some in (shown, slots):
+        for e in page.elements:
+            e.chars = 0
+        for _, n, e in some:
+            while e is not None:
+                e.chars += n
+                e = e.parent
+        articles = [e for e in page.elements if e.article and not e.outside and e.chars]
+        if some is shown and articles:
+            return [e for e in articles if e.name == "article"] or articles
     root = best = page.elements[0]
     for e in page.elements[1:]:  # opened in page order, so deeper ones come later
-        known = not template or _hash("<" + e.key) in template
+        known = not places or e.token in places
         if known and not e.outside and e.name not in INLINE and e.name != "p" and e.chars >= MOST_OF_TEXT * root.chars and _within(e, [best]):
             best = e
     return [best]
@@ -150,23 +182,68 @@ def _within(e: Element | None, holders: list[Element]) -> bool:
     return False
 
 
-def main_text(text: str | None, template: frozenset[int] = frozenset()) -> str:
+def _in_order(keys: list[int]) -> list[int]:
+    """Indices of a longest strictly rising part."""
+    if all(x < y for x, y in zip(keys, keys[1:])):
+        return list(range(len(keys)))
+    ends, last, back = [], [], []
+    for n, k in enumerate(keys):
+        at = bisect_left(ends, k)
+        back.append(last[at - 1] if at else -1)
+        ends[at : at + 1], last[at : at + 1] = [k], [n]
+    out, n = [], last[-1]
+    while n >= 0:
+        out.append(n)
+        n = back[n]
+    return out[::-1]
+
+
+def aligned(tokens: list[int], places: dict[int, tuple[int, int, int]]) -> dict[int, tuple[list[int], list[int], bool]]:
+    """Of each token in ``places`` (token to class, rank and nest; class 0 is the spine) on a page: where it is in order, in which slots, and whether it is so everywhere."""
+    classes: dict[int, list[tuple[int, int, int]]] = {}
+    times: Counter = Counter()
+    for at, t in enumerate(tokens):
+        if (place := places.get(t)) is not None:
+            turn = times[t] << 32 if place[0] else 0
+            times[t] += 1
+            classes.setdefault(place[0], []).append((at, t, turn + place[1]))
+    spine = [classes[0][n] for n in _in_order([k for *_, k in classes[0]])] if 0 in classes else []
+    edges, out = [at for at, *_ in spine], {}
+    for of, own in classes.items():
+        for at, t, _ in spine if not of else [own[n] for n in _in_order([k for *_, k in own])]:
+            found = out.setdefault(t, ([], []))
+            found[0].append(at)
+            before = bisect_left(edges, at)
+            found[1].append(0 if not of else 1 + (spine[before - 1][2] + 1 if before else 0))
+    return {t: (ats, slots, len(ats) == times[t]) for t, (ats, slots) in out.items()}
+
+
+def _nest(slots: list[int]) -> int:
+    """The slot of a token, or one number for the slots of its occurrences."""
+    return slots[0] if min(slots) == max(slots) else _hash(",".join(map(str, slots))) | 1 << 62
+
+
+def template_places(tokens: list[int], places: dict[int, tuple[int, int, int]]) -> set[int]:
+    """Positions on a page where template tokens stand in order and in their slots."""
+    out: set[int] = set()
+    for t, (ats, slots, _) in aligned(tokens, places).items():
+        nest = places[t][2]
+        out.update(ats if _nest(slots) == nest else [at for at, slot in zip(ats, slots) if slot == nest])
+    return out
+
+
+def main_text(text: str | None, places: dict[int, tuple[int, int, int]] | None = None) -> str:
     """Blocks of the article joined by one space; the empty text if there is none."""
-    page = parse(text)
-    holders = _container(page, template)
+    page, places = parse(text), places or {}
+    template = template_places(page.tokens, places) if places else set()
+    holders = _container(page, places, template)
     inside = [r for r in page.runs if not r[2].outside and _within(r[2], holders)]
-    if template:
-        kept = [r for r in inside if page.tokens[r[0]] not in template]
-        if 2 * sum(len(r[1]) for r in kept) >= sum(len(r[1]) for r in inside):
-            drop = {r[0] for r in inside} - {r[0] for r in kept}
-        else:
-            drop = set()
-    else:
-        drop = set()
+    if all(r[0] in template for r in inside):
+        template = set()
     out, gap = [], False
     for at, clean, _, broken in inside:
         gap |= broken
-        if at in drop:
+        if at in template:
             gap = True
             continue
         out.append(" " + clean if gap else clean)
@@ -174,39 +251,107 @@ def main_text(text: str | None, template: frozenset[int] = frozenset()) -> str:
     return " ".join("".join(out).split())
 
 
+class Places:
+    """Templates of hosts as ``aligned`` wants them; a few are kept."""
+
+    def __init__(self):
+        self.kept: dict[str, dict] = {}
+
+    def of(self, host: str, rows: pa.Scalar) -> dict[int, tuple[int, int, int]]:
+        if not rows.is_valid:
+            return {}
+        if host not in self.kept:
+            if len(self.kept) >= 200:
+                self.kept.clear()
+            four = rows.values.to_numpy(zero_copy_only=False).reshape(-1, 4).tolist()
+            self.kept[host] = {t: (of, rank, nest) for t, of, rank, nest in four}
+        return self.kept[host]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes of enough tokens of a host, as rows of four: token, class, rank, and a nest not known yet."""
+    for part in batches:
+        flat = []
+        for rows in part.column("tokens").to_pylist():
+            classes: dict[tuple, list[tuple[int, int]]] = {}
+            for r in rows:
+                classes.setdefault((r["pages"], r["a"], r["b"]), []).append((r["at"], r["token"]))
+            spine = next(k for k, own in classes.items() if (0, -1) in own)
+            out, n = [], 0
+            for k, own in sorted(classes.items()):
+                if len(own) >= CLASS_SIZE:
+                    n += k != spine
+                    for rank, (_, t) in enumerate(sorted(x for x in own if x[1] != -1)):
+                        out += [t, 0 if k == spine else n, rank, 0]
+            flat.append(out)
+        yield pa.RecordBatch.from_arrays([part.column("host"), part.column("of"), pa.array(flat, pa.list_(pa.int64()))], ["host", "of", "template"])
+
+
+def supported(found: DataFrame) -> DataFrame:
+    """``(host, of, tokens)`` of the rows of ``found`` on nearly all of their host's ``of`` pages; others are left out before anything is gathered."""
+    hosts = checked_broadcast(found.where("token = -1").select("host", F.col("pages").alias("of")))
+    near = found.join(hosts, "host").groupBy("host", "of").agg(F.collect_list(F.struct("token", "pages", "a", "b", "at")).alias("tokens"))
+    return near.withColumn("tokens", F.filter("tokens", lambda t: t["pages"] >= SUPPORT * F.col("of")))
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, template array<long>)``: the tokens of the valid classes of each host that has any; ``pages`` has ``host, html``."""
+    """``(host, template array<long>)``: token, class, rank and nest of the template tokens of each host that has any; ``pages`` has ``host, html`` and a number of the ``row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, list[int]] = {}
         for part in text_slices(batches, "html"):
             for host, text in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                counts = Counter(parse(text).tokens)
+                tokens = parse(text).tokens
+                counts, first = Counter(tokens), {}
+                for at, token in enumerate(tokens):
+                    first.setdefault(token, at)
                 counts[-1] = 1  # the page itself
                 page = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass"))
                 for token, n in counts.items():
                     h = (page ^ n * 0x9E3779B97F4A7C15) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF
-                    own = sums.setdefault((host, token), [0, 0, 0])
+                    own = sums.setdefault((host, token), [0, 0, 0, 0])
                     own[0] += 1
                     own[1] += h >> 40
                     own[2] += h >> 16 & 0xFFFFFF
+                    own[3] += first.get(token, 0)
             if len(sums) > 300_000:
-                yield told(sums)
+                yield told(sums, ["host", "token"], ["pages", "a", "b", "at"])
                 sums = {}
         if sums:
-            yield told(sums)
+            yield told(sums, ["host", "token"], ["pages", "a", "b", "at"])
 
-    def told(sums: dict) -> pa.RecordBatch:
+    def told(sums: dict, keys: list[str], names: list[str]) -> pa.RecordBatch:
         values = np.array(list(sums.values()), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int64()), *(pa.array(values[:, n]) for n in range(3))], ["host", "token", "pages", "a", "b"])
+        columns = [pa.array([k[0] for k in sums], pa.string()), *(pa.array([k[n] for k in sums], pa.int64()) for n in range(1, len(keys)))]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array(values[:, n]) for n in range(len(names)))], [*keys, *names])
 
-    found = pages.mapInArrow(run, "host string, token long, pages long, a long, b long")
-    found = found.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "a", "b"))).where(F.col("pages") >= LEAST_PAGES)
-    classes = found.groupBy("host", "pages", "a", "b").agg(F.collect_list("token").alias("tokens"))
-    classes = classes.withColumn("all_pages", F.exists("tokens", lambda t: t == -1))
-    hosts = classes.groupBy("host").agg(F.max(F.when(F.col("all_pages"), F.col("pages"))).alias("of"), F.collect_list(F.struct("pages", "tokens")).alias("classes"))
-    valid = F.filter("classes", lambda c: (F.size(c["tokens"]) >= CLASS_SIZE) & (c["pages"] >= SUPPORT * F.col("of")))
-    return hosts.select("host", F.flatten(F.transform(valid, lambda c: c["tokens"])).alias("template")).where(F.size("template") > 0)
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, list[int]] = {}
+        known, keys = Places(), ["host", "of", "token", "class", "rank", "nest"]
+        for part in text_slices(batches, "html"):
+            for host, of, text, rows in zip(part.column("host").to_pylist(), part.column("of").to_pylist(), part.column("html").to_pylist(), part.column("template")):
+                places = known.of(host, rows)
+                for token, (_, slots, whole) in aligned(parse(text).tokens, places).items():
+                    if whole:
+                        sums.setdefault((host, of, token, *places[token][:2], _nest(slots)), [0])[0] += 1
+            if len(sums) > 300_000:
+                yield told(sums, keys, ["pages"])
+                sums = {}
+        if sums:
+            yield told(sums, keys, ["pages"])
+
+    named = pages.select("host", "html", "row", F.xxhash64("html").alias("copy"))
+    copies = named.groupBy("host", "copy").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").select("host", "copy", "first")
+    distinct = named.join(checked_broadcast(copies), ["host", "copy"], "left").where("first is null or row = first").select("host", "html")
+    found = distinct.mapInArrow(run, "host string, token long, pages long, a long, b long, at long")
+    found = stored(found.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "a", "b", "at"))).where(F.col("pages") >= LEAST_PAGES), "tokens")
+    classes = checked_broadcast(supported(found).mapInArrow(_candidates, "host string, of long, template array<long>").where(F.size("template") > 0), BROADCAST_HOSTS)
+    keys = "host string, of long, token long, class long, rank long, nest long"
+    tested = distinct.join(classes, "host").select("host", "of", "html", "template").mapInArrow(test, f"{keys}, pages long")
+    tested = tested.groupBy("host", "of", "token", "class", "rank", "nest").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= SUPPORT * F.col("of"))
+    size = F.count("*").over(Window.partitionBy("host", "class")) + F.when(F.col("class") == 0, 1).otherwise(0)  # the page itself is in the spine
+    kept = tested.withColumn("size", size).where(F.col("size") >= CLASS_SIZE)
+    return kept.groupBy("host").agg(F.flatten(F.collect_list(F.array("token", "class", "rank", "nest"))).alias("template"))
 
 
 def host_of(url: str):
@@ -218,21 +363,17 @@ def extract(df: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFram
     """``(id_col, url_col, text, n_chars)`` for every row; a null or empty page has the empty text.
 
     Pages without a URL are one host. Repeated rows are extracted each for itself. A host with fewer than
-    ``LEAST_PAGES`` pages has no template; its pages are read by their elements alone.
+    ``LEAST_PAGES`` different pages has no template; its pages are read by their elements alone.
     """
-    pages = spread(df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))).withColumn("host", host_of("url"))
-    found = checked_broadcast(templates(pages.select("host", "html")))
-    joined = pages.join(found, "host", "left").select("id", "url", "html", "template")
+    pages = spread(df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.monotonically_increasing_id().alias("row"))).withColumn("host", host_of("url"))
+    found = checked_broadcast(templates(pages.select("host", "html", "row")), BROADCAST_HOSTS)
+    joined = pages.join(found, "host", "left").select("id", "url", "host", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[tuple, frozenset] = ((), frozenset())
+        known = Places()
         for part in text_slices(batches, "html"):
-            texts = []
-            for text, template in zip(part.column("html").to_pylist(), part.column("template").to_pylist()):
-                key = tuple(template or ())
-                if key != last[0]:
-                    last = key, frozenset(key)
-                texts.append(main_text(text, last[1]))
+            columns = (part.column("host").to_pylist(), part.column("html").to_pylist(), part.column("template"))
+            texts = [main_text(text, known.of(host, rows)) for host, text, rows in zip(*columns)]
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
     kind = pages.schema["id"].dataType.simpleString()

@@ -161,6 +161,23 @@ def test_template_text_goes_and_copies_stay(spark):
     assert html_main.extract(pages.where("false"), "page_id", "url", "html").count() == 0
 
 
+def extracted(spark, bodies):
+    pages = spark.createDataFrame([(n, f"http://h.example/{n}", f"<html><body>{b}</body></html>") for n, b in enumerate(bodies)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_main.extract(pages, "page_id", "url", "html").collect()}
+
+
+def test_template_text_stays_where_it_is_data(spark):
+    # the line stands after the lead on some pages and before it on others: in no order with the template, so it is data
+    lead, line = "<p>Lead of every page</p>", "<p>A line of the article</p>"
+    frame = lambda n, inner: f"<div class=a><h2>Top</h2></div><div class=c><p>Own text {n} with words of its own</p>{inner}</div><div class=b><h3>End</h3></div>"
+    found = extracted(spark, [frame(n, lead + line if n % 2 else line + lead) for n in range(12)])
+    assert all("A line of the article" in found[n] or "Lead of every page" in found[n] for n in range(12))
+    assert all("Top" not in found[n] and f"Own text {n}" in found[n] for n in range(12))
+    # a run of the menu that is also a paragraph of one article
+    bodies = [f"<div class=m><b>Home</b><i>Shop</i></div><div class=c><p>Own text {n} with words of its own</p>{'<p>Home</p>' if n == 3 else ''}</div>" for n in range(40)]
+    assert extracted(spark, bodies) == {n: f"Own text {n} with words of its own" + (" Home" if n == 3 else "") for n in range(40)}
+
+
 def test_pipeline(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
