@@ -143,11 +143,31 @@ def parse(text: str | None) -> Page:
 
 def _outside_words(marks: dict[str, str]) -> bool:
     """Whether a whole word of class, id or role says that the element is outside; ``ad-box`` and ``cookie-notice`` are words too."""
-    return bool(set(_PART.findall(" ".join(marks.get(k, "") for k in ("class", "id", "role")))) & OUTSIDE_WORDS)
+    for k in ("class", "id", "role"):
+        for word in marks.get(k, "").split():
+            parts = _PART.findall(word)
+            if parts and (word in OUTSIDE_WORDS or "".join(parts) in OUTSIDE_WORDS or all(p in OUTSIDE_WORDS for p in parts)):
+                return True
+    return False
 
 
 def _settle(page: Page) -> None:
     """What is outside: elements by name or word and all in them. A word does not count where a main element, or the page's only articles, lie inside."""
+    free, held = False, []
+    for e in page.elements:
+        if e.article and not e.outside and not e.says:
+            around, above = [], e.parent
+            while above is not None and not above.outside:
+                if above.says:
+                    around.append(above)
+                above = above.parent
+            if above is None:
+                free |= not around
+                held.append((e, around))
+    for e, around in held:
+        if around and (e.name != "article" or not free) and not any(h.name == "article" for h in around):
+            for h in around:
+                h.says = False
     for e in page.elements:
         e.outside |= e.says or e.parent is not None and e.parent.outside
 
@@ -155,7 +175,7 @@ def _settle(page: Page) -> None:
 def _container(page: Page, places: dict[int, tuple[int, int, int]], template: set[int]) -> list[Element]:
     """The articles, or else the deepest template element with most of the text that is not template."""
     shown = [(at, len(clean), e) for at, clean, e, _ in page.runs if not e.outside]
-    slots = shown
+    slots = [r for r in shown if r[0] not in template] or shown
     for some in (shown, slots):
         for e in page.elements:
             e.chars = 0

@@ -161,11 +161,25 @@ def test_template_text_goes_and_copies_stay(spark):
     assert html_main.extract(pages.where("false"), "page_id", "url", "html").count() == 0
 
 
+def test_class_words_exclude_only_as_whole_words_and_around_no_article():
+    page = "<body><div class='layout has-sidebar'><div class='post with-comments'><article><p>The whole article</p></article></div></div><div class='comments'>First!</div></body>"
+    assert html_main.main_text(page) == "The whole article"
+    assert html_main.main_text("<body><div class='widget'><article>Kept</article></div></body>") == "Kept"
+    assert html_main.main_text("<body><article>Own</article><div class='related'><article>Teaser</article></div></body>") == "Own"
+    assert html_main.main_text("<body><div class='sidebar'>Side</div><div class='page has-sidebar'>Body</div></body>") == "Body"
+
+
 def extracted(spark, bodies):
     pages = spark.createDataFrame([(n, f"http://h.example/{n}", f"<html><body>{b}</body></html>") for n, b in enumerate(bodies)], "page_id long, url string, html string")
     return {r.page_id: r.text for r in html_main.extract(pages, "page_id", "url", "html").collect()}
 
 
+def test_short_article_beside_a_long_menu(spark):
+    menu = "<div class=x><ul>" + "".join(f"<li>Entry {k} of the long unlabelled menu</li>" for k in range(40)) + "</ul></div>"
+    found = extracted(spark, [f"{menu}<div class=y><p>Short text {n}</p></div><div class=z><p>Imprint and terms</p></div>" for n in range(12)])
+    assert found == {n: f"Short text {n}" for n in range(12)}
+
+
 def test_template_text_stays_where_it_is_data(spark):
     # the line stands after the lead on some pages and before it on others: in no order with the template, so it is data
     lead, line = "<p>Lead of every page</p>", "<p>A line of the article</p>"
