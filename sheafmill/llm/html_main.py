@@ -310,8 +310,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def supported(found: DataFrame) -> DataFrame:
     """``(host, of, tokens)`` of the rows of ``found`` on nearly all of their host's ``of`` pages; others are left out before anything is gathered."""
     hosts = checked_broadcast(found.where("token = -1").select("host", F.col("pages").alias("of")))
-    near = found.join(hosts, "host").groupBy("host", "of").agg(F.collect_list(F.struct("token", "pages", "a", "b", "at")).alias("tokens"))
-    return near.withColumn("tokens", F.filter("tokens", lambda t: t["pages"] >= SUPPORT * F.col("of")))
+    near = found.join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("of"))
+    return near.groupBy("host", "of").agg(F.collect_list(F.struct("token", "pages", "a", "b", "at")).alias("tokens"))
 
 
 def templates(pages: DataFrame) -> DataFrame:

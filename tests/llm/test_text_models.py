@@ -192,6 +192,12 @@ def test_template_text_stays_where_it_is_data(spark):
     assert extracted(spark, bodies) == {n: f"Own text {n} with words of its own" + (" Home" if n == 3 else "") for n in range(40)}
 
 
+def test_only_tokens_on_nearly_all_pages_are_gathered_by_host(spark):
+    rows = [("h", -1, 40, 1, 1, 0), ("h", 5, 40, 1, 1, 9), ("h", 6, 38, 2, 2, 9), ("h", 7, 37, 3, 3, 9), ("h", 8, 5, 4, 4, 9), ("i", -1, 5, 4, 4, 0), ("i", 8, 5, 4, 4, 2)]
+    found = html_main.supported(spark.createDataFrame(rows, "host string, token long, pages long, a long, b long, at long")).collect()
+    assert {(r.host, r.of): {t.token for t in r.tokens} for r in found} == {("h", 40): {-1, 5, 6}, ("i", 5): {-1, 8}}
+
+
 def test_pipeline(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
