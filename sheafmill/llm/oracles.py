@@ -44,4 +44,43 @@ SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
 FROM sized JOIN last USING (hex)
 """
 
-ORACLE_SQL = {"op1_substring": SUBSTRING, "op5_exact_topk": EXACT_TOPK, "op7_warc": WARC}
+#: CRC-32 runs over the bytes of the decimal id with a table of 256 remainders, made by its rule.
+TRIE = """
+WITH bytes AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b::BIGINT] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc
+), turns AS (
+  SELECT conv_id, coalesce(text, '') AS said, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, x: xor(c // 256, crc[(xor(c, x) % 256 + 1)::INT])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), bytes
+), rebuilt AS (
+  SELECT conv_id, said, t, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM (
+    SELECT c.conv_id, 0 AS own, pos, said, t FROM convs c JOIN turns ON turns.conv_id = c.base WHERE pos <= h
+    UNION ALL SELECT c.conv_id, 1, pos, said, t FROM convs c JOIN turns ON turns.conv_id = c.conv_id WHERE pos > h)
+), prefixes AS (
+  SELECT conv_id, 0 AS depth, '' AS node, NULL AS parent, 0 AS chars FROM convs
+  UNION ALL
+  SELECT conv_id, depth, node, CASE WHEN depth = 1 THEN '' ELSE lag(node) OVER (PARTITION BY conv_id ORDER BY depth) END, chars FROM (
+    SELECT conv_id, depth, length(said) AS chars, md5(string_agg(t, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM rebuilt)
+), sized AS (
+  SELECT *, max(depth) OVER (PARTITION BY conv_id) AS len FROM prefixes
+), nodes AS (
+  SELECT node, depth, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len), '')) AS ends_sha256
+  FROM sized GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY 1
+), sums AS (
+  SELECT up.node, up.depth, count(*) FILTER (NOT EXISTS (FROM children c WHERE c.node = n.node)) AS n_leaves, sum((n_convs - 1) * n.chars) AS saved_tokens
+  FROM nodes n JOIN prefixes up ON up.conv_id = n.conv_id AND up.depth <= n.depth GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node AND s.depth = n.depth
+LEFT JOIN children c ON c.node = n.node LEFT JOIN nodes p ON p.node = n.parent AND p.depth = n.depth - 1
+"""
+
+ORACLE_SQL = {"op1_substring": SUBSTRING, "op5_exact_topk": EXACT_TOPK, "op7_warc": WARC, "op13_prefix_trie": TRIE}

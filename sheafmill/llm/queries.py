@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_topk, forest, html_main, mixing, packing, quality, simhash, substring, warc
+from . import bpe, exact_topk, forest, html_main, lz_prints, mixing, packing, prefix_trie, quality, simhash, substring, variants, warc
 from .common import read
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -62,6 +62,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, "doc_id", "text", model)
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op12_lz_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_prints.edited_pairs(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring": op1_substring,
     "op2_bpe": op2_bpe,
@@ -73,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
+    "op11_variants": op11_variants,
+    "op12_lz_prints": op12_lz_prints,
+    "op13_prefix_trie": op13_prefix_trie,
 }
