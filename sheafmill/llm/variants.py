@@ -7,8 +7,10 @@ one edit apart, that whose prefix ends earlier in the order has a pivot in the p
 looked up among prefixes only, within the places that one edit can move them to, and the words of a
 match are verified.
 
-An edit lies before a surviving pivot or after it, so that all of the word on one side of the pivot is untouched. The
-index key holds that side's hash: it is the sharpest limit on places, and no rare bigram's words meet each other all.
+An edit falls into one region of the word, such as a pivot or what lies between the two. All before and after that region
+is untouched, and so is a pivot beside it. The index key is that bigram with some letters from both ends of the word and its
+length, for the places, ends and lengths that an edit of the region leaves: the sharpest limit on places, so that the words
+of a rare bigram do not meet each other all.
 """
 
 from __future__ import annotations
@@ -17,16 +19,14 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import spread, stored, text_slices
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPOILT = 31
 LEAST_LETTERS = 7
 LEAST_COUNT = 2
@@ -34,12 +34,18 @@ RATIO = 10
 PREFIX = 3
 #: Distinct words that a task counts at a time.
 HELD_WORDS = 200_000
-INTACT_LEFT, INTACT_RIGHT = 0, 1
+#: Words whose keys are sent together.
+BATCH_WORDS = 2_000
 
 
-def runs(text: str) -> Counter:
-    """The runs of letters of a text, only A-Z lower-cased, with their counts."""
-    return Counter(RUN.findall(text.translate(LOWER)))
+@cache
+def _pattern(least: int) -> re.Pattern:
+    return re.compile(f"[a-zÀ-ÿ]{{{least},}}")
+
+
+def runs(text: str, least: int = 1) -> Counter:
+    """The maximal runs of ``least`` letters or more, only A-Z lower-cased, with their counts."""
+    return Counter(_pattern(least).findall(text.encode().lower().decode()))
 
 
 def spoilt(run: str, doc_id: int | None, every: int = SPOILT) -> str:
@@ -64,11 +70,10 @@ def word_counts(df: DataFrame, id_col: str, text_col: str, every: int = SPOILT,
 
         for part in text_slices(batches, text_col):
             for doc_id, text in zip(part.column(id_col).to_pylist(), part.column(text_col).to_pylist()):
-                for run, n in runs(text or "").items():
-                    if len(run) >= least_letters:
-                        word = spoilt(run, doc_id, every)
-                        if len(word) >= least_letters:
-                            held[word] += n
+                for run, n in runs(text or "", least_letters).items():
+                    word = spoilt(run, doc_id, every)
+                    if len(word) >= least_letters:
+                        held[word] += n
             if len(held) >= HELD_WORDS:
                 yield send()
         if held:
@@ -106,33 +111,68 @@ def prefix_and_pivots(word: str, ranks: dict[str, int], size: int = PREFIX) -> t
     return places, pair, last
 
 
-def _keys(word: str, place: int) -> tuple[int, int]:
-    """Hashes of the pivot's bigram with all that is left of it, and with all that is right of it."""
-    digest = xxhash.xxh64_intdigest
-    return digest(word[: place + 2].encode(), INTACT_LEFT), digest(word[place:].encode(), INTACT_RIGHT)
+def ends(length: int, least: int = LEAST_LETTERS) -> tuple[tuple[int, int], ...]:
+    """How many letters from the front and the back a word of this length shows in its keys.
+
+    Whichever letter of a word one longer or shorter is edited, the others have one of these pairs on its two sides.
+    """
+    if max(length - 1, least) < 7:
+        return (1, 0), (0, 1)
+    if length <= 9:
+        return (5, 0), (3, 2), (2, 3), (0, 5)
+    return ((6, 0), (3, 3), (0, 6)) if length <= 12 else ((8, 0), (4, 4), (0, 8))
+
+
+@cache
+def questions(n: int, first: int, second: int, length: int, least: int = LEAST_LETTERS) -> tuple[tuple[int, int, int], ...]:
+    """``(front, back, pivot)`` of the keys by which a word of ``n`` letters finds those of ``length`` letters.
+
+    Every edit lies in one of the regions that the two pivots make. A region is halved until some pair of ends lies outside
+    it; the pivot is one outside too, rather one that the ends do not show already.
+    """
+    found, regions = set(), [(0, first), (first, first + 2), (first + 2, second), (second, second + 2), (second + 2, n)]
+    while regions:
+        a, b = regions.pop()
+        if a == b and 0 < a < n:
+            continue  # what is put in between two regions lies at the end of either
+        fit = [(max(0, min(x, p + 2) - p) + max(0, p + 2 - max(n - y, p)), x, y, p) for x, y in ends(length, least) if x <= a and y <= n - b for p in (first, second) if p + 2 <= a or p >= b]
+        if fit:
+            found.add(min(fit)[1:])
+        else:
+            regions += [(a, (a + b) // 2), ((a + b) // 2, b)]
+    return tuple(sorted(found))
+
+
+def _key(gram: str, front: str, back: str, length: int) -> int:
+    return xxhash.xxh64_intdigest(f"{gram} {front} {back} {length}") - (1 << 63)
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def near_words(words: DataFrame, least: int = LEAST_LETTERS) -> DataFrame:
     """``(word, near, near_n)``, both ways, of the words ``(word, n)`` that differ in exactly one letter put in, left out or replaced."""
     ranks = gram_ranks(words)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            out: list[tuple] = []
-            for word, n in zip(part.column("word").to_pylist(), part.column("n").to_pylist()):
-                places, pair, last = prefix_and_pivots(word, ranks)
-                for place in places:
-                    left, right = _keys(word, place)
-                    out.append((left - (1 << 63), place in pair, word, n, last))
-                    out.append((right - (1 << 63), place in pair, word, n, last))
-            kinds = [pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds[i]) for i in range(5)], ["key", "pivot", "word", "n", "last"])
-
-    index = stored(words.mapInArrow(send, "key long, pivot boolean, word string, n long, last int"), "grams")
-    table = index.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
-    asked = index.where("pivot").drop("pivot")
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_WORDS):
+                part = batch.slice(at, BATCH_WORDS)
+                keys, asks, whose, lasts = [], [], [], []
+                for k, word in enumerate(part.column("word").to_pylist()):
+                    places, (a, b), last = prefix_and_pivots(word, ranks)
+                    n = len(word)
+                    shown = {_key(g, word[:x], word[n - y :], n) for g in {word[i : i + 2] for i in places} for x, y in ends(n, least)}
+                    asked = {_key(word[p : p + 2], word[:x], word[n - y :], m) for m in (n - 1, n, n + 1) if m >= least for x, y, p in questions(n, a, b, m, least)}
+                    keys += shown
+                    keys += asked
+                    asks += [False] * len(shown) + [True] * len(asked)
+                    whose += [k] * (len(shown) + len(asked))
+                    lasts += [last] * (len(shown) + len(asked))
+                taken = [part.column(c).take(pa.array(whose, pa.int32())) for c in ("word", "n")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(asks, pa.bool_()), *taken, pa.array(lasts, pa.int32())], ["key", "asks", "word", "n", "last"])
+
+    index = stored(words.mapInArrow(send, "key long, asks boolean, word string, n long, last int"), "grams")
+    table = index.where("NOT asks").select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
+    asked = index.where("asks").drop("asks")
     close = (F.col("last") <= F.col("near_last")) & (F.col("word") != F.col("near"))
-    close &= F.abs(F.char_length("word") - F.char_length("near")) <= 1
     found = asked.join(table, (asked["key"] == table["key"]) & close & (F.levenshtein("word", "near", 1) == 1))
     there = F.struct(F.col("word"), F.col("near"), F.col("near_n"))
     back = F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))
@@ -158,12 +198,12 @@ def variants(
 
     Words are the maximal runs of Latin letters (A-Z, a-z and the block from U+00C0 to U+00FF), lower-cased in A-Z, one in ``every`` of
     them with a letter lost. A word's form is its most frequent near word (ties: the first in code-point order), if that has ``ratio`` times
-    the word's count at least; its root is where following forms ends. Null and empty texts have no words; rows with a null
+    the word's count at least (``least_letters`` is 4 at least); its root is where following forms ends. Null and empty texts have no words; rows with a null
     id count like others; repeated rows count as often as they stand. An empty table gives an empty result.
     """
     words = stored(word_counts(df, id_col, text_col, every, least_letters, least_count), "words")
     best = F.min_by(F.struct("near", "near_n"), F.struct(-F.col("near_n"), F.col("near")))
-    told = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
+    told = near_words(words, least_letters).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     told = words.join(told, "word", "left").withColumn("best", F.when(F.col("best.near_n") >= ratio * F.col("n"), F.col("best")))
     told = stored(told.select("word", F.col("best.near").alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.near_n").alias("form_n")), "forms")
     rooted = roots(told.where("form IS NOT NULL").select("word", "form"))

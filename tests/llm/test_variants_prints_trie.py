@@ -91,6 +91,15 @@ def test_pivots_are_disjoint_and_rarest():
         assert b >= a + 2 and {a, b} <= set(places) and rank[a] + rank[b] == min(pairs)
 
 
+@pytest.mark.parametrize("least", [4, 7])
+def test_near_words_of_few_letters(spark, least):
+    rng = np.random.default_rng(least)
+    words = sorted({"".join(rng.choice(list("abc"), rng.integers(least, least + 9))) for _ in range(700)} | {"ab" * n for n in range(4, 9)} | {"a" * n for n in range(least, 15)})
+    words += [w[:3] + "z" + w[3:] for w in words[::5]]
+    got = {(r.word, r.near) for r in variants.near_words(spark.createDataFrame([(w, 1) for w in set(words)], "word string, n long"), least).collect()}
+    assert got == {(a, b) for a in set(words) for b in set(words) if abs(len(a) - len(b)) <= 1 and a != b and one_edit(a, b)}
+
+
 # --- phrase fingerprints ---------------------------------------------------------------------
 
 
