@@ -14,7 +14,6 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-
 def sparse(size: int, indices: Column, values: Column) -> Column:
     return F.struct(
         F.lit(0).cast("tinyint").alias("type"),
@@ -34,6 +33,13 @@ def number_list(values, kind: str = "double") -> Column:
     return F.from_json(F.lit(json.dumps([v for v in values])), f"array<{kind}>")
 
 
+def open_row(df: DataFrame, col: str) -> Column:
+    """The feature row of ``col`` as a struct with indices, also where it is an ML vector or a full one."""
+    row = F.col(col) if df.schema[col].dataType.typeName() == "struct" else F.unwrap_udt(col)
+    full = F.when(F.size(row["values"]) > 0, F.sequence(F.lit(0), F.size(row["values"]) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.struct(F.when(row["type"] == 1, full).otherwise(row["indices"]).alias("indices"), row["values"].alias("values"))
+
+
 def _shifted(indices: Column, offset: int) -> Column:
     return F.transform(indices, lambda i: i + F.lit(offset)) if offset else indices
 

@@ -662,18 +662,6 @@ def res_1_smote_rows(spark, d):
     return grown.groupBy("label").agg(F.count("*").alias("n"), F.count_if("synthetic").alias("n_synthetic"))
 
 
-SMALL = {
-    "RandomForest": {"numTrees": 10, "maxDepth": 5},
-    "HistGBT_sklearn": {"maxIter": 2, "maxDepth": 3},
-    "LinearSVC": {"maxIter": 10},
-}
-SMALL_GRIDS = {
-    "RandomForest": [{"numTrees": 5}, {"numTrees": 10}],
-    "HistGBT_sklearn": [{"stepSize": 0.1}],
-    "LinearSVC": [{"C": 0.5}, {"C": 1.0}],
-}
-
-
 def _lang_task(spark, d, terms=300):
     """Language of all documents from flat features."""
     rows = _split_docs(spark, d)
@@ -685,8 +673,7 @@ def _lang_task(spark, d, terms=300):
 
 def _fit_one(spark, d, name):
     task = _lang_task(spark, d)
-    model = classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS)[name]
-    return classify.train_and_evaluate(task, model, {}, task.part("train"), task.part("test"))[1]
+    return classify.train_and_evaluate(task, classify.get_classifiers()[name], {}, task.part("train"), task.part("test"))[1]
 
 
 @query
@@ -704,10 +691,38 @@ def cls_3_linear_svm(spark, d):
     return _fit_one(spark, d, "LinearSVC")
 
 
+def _ranked(spark, d, name):
+    """Predicted classes of all orders by a classifier of default size, fitted on four fifths of them."""
+    rows = cut_lineage(views.ranked_orders(spark, d))
+    task = classify.Task(rows, "flat", 4, "o_orderkey")
+    model = classify.train(task, classify.get_classifiers()[name], {}, task.part("train"), use_smote=False)
+    predicted = classify.predict(task, name, model, task.part("train", "test"))
+    return predicted.select("o_orderkey", F.col("prediction").cast("int").alias("predicted"))
+
+
+@query
+def cls_1_forest_known_answer(spark, d):
+    return _ranked(spark, d, "RandomForest")
+
+
+@query
+def cls_2_boosting_known_answer(spark, d):
+    return _ranked(spark, d, "HistGBT_sklearn")
+
+
+@query
+def cls_3_svm_known_answer(spark, d):
+    """Six classes of line items, each told by two of seven columns together."""
+    rows = cut_lineage(views.flagged_lines(spark, d))
+    task = classify.Task(rows, "flat", 7, "line")
+    model = classify.train(task, classify.get_classifiers()["LinearSVC"], {}, task.part("train"), use_smote=False)
+    predicted = classify.predict(task, "LinearSVC", model, task.part("train", "test"))
+    return predicted.select("line.*", F.col("prediction").cast("int").alias("predicted"))
+
+
 @query
 def cls_8_selected_and_tested(spark, d):
-    chosen = {n: c for n, c in classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS).items() if n != "HistGBT_sklearn"}
-    results, _, _ = classify.run_all_classifiers(_lang_task(spark, d), chosen)
+    results, _, _ = classify.run_all_classifiers(_lang_task(spark, d), classify.get_classifiers())
     return rounded(results)
 
 
@@ -819,24 +834,21 @@ def snk_2_src_6_stored_features(spark, d):
 def snk_5_src_7_cls_10_stored_models(spark, d):
     """Models stored, loaded by key and scored on the test rows."""
     task = _lang_task(spark, d)
-    chosen = classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS)
+    chosen = classify.get_classifiers()
     path = _folder(spark)
-    names = ("RandomForest", "LinearSVC")
-    stored.save_models({f"flat_{n}": classify.train(task, chosen[n], {}, task.part("train", "val"), False) for n in names}, path)
+    stored.save_models({f"flat_{n}": classify.train(task, c, {}, task.part("train", "val")) for n, c in chosen.items()}, path)
     _, scores = classify.score_models(task.rows, {"flat": task.width}, stored.load_models(spark, path))
     return rounded(scores)
 
 
 @query
 def cls_9_set_3_feature_sets(spark, d):
-    """Two feature sets of the profiles side by side, results in one table."""
+    """Two feature sets of the profiles side by side with all classifiers, results in one table."""
     rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
     encoder = labels.fit_labels(_train(rows), "category")
-    sizes = dict(flat_terms=300, section_terms=100, n_columns=200, latent_components=4, svd_iterations=1)
-    fitted, table = features.fit_features(encoder.transform(rows), "full_text", "label", ["doc_id", "label", "split"], **sizes)
-    chosen = {"RandomForest": classify.get_classifiers(sizes=SMALL, grids=SMALL_GRIDS)["RandomForest"]}
+    fitted, table = features.fit_features(encoder.transform(rows), "full_text", "label", ["doc_id", "label", "split"])
     widths = {m: fitted.widths[m] for m in ("flat", "section")}
-    results, _, _ = classify.compare_feature_sets(cut_lineage(table), widths, chosen, use_smote=False)
+    results, _, _ = classify.compare_feature_sets(cut_lineage(table), widths, classify.get_classifiers())
     return rounded(results)
 
 

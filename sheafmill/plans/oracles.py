@@ -7,7 +7,7 @@ SQL does not repeat the parsing it checks.
 from __future__ import annotations
 
 from ..functions import fixed_values as fv
-from .views import PROFILES_SQL
+from .views import LINE_CLASSES, PROFILES_SQL
 
 PROFILES = "(" + PROFILES_SQL.replace("{customer}", "customer") + ")"
 DOCS = "(SELECT doc_id, text, lang AS category FROM documents)"
@@ -400,6 +400,12 @@ def build() -> dict[str, str]:
       FROM {ORDER_SCORES} GROUP BY classifier"""
     q["eva_5_6_cluster_agreement"] = f"SELECT nmi, ari FROM ({sql_agreement(JUDGED, 'quality', 'toxic')})"
     q["eva_5_6_agreement_by_group"] = sql_agreement("lineitem", "l_returnflag", "l_linenumber % 4", "l_linestatus")
+    urgent = "(CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS INT) <= 2 THEN 1 ELSE 0 END + CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 0 END)"
+    for name in ("cls_1_forest_known_answer", "cls_2_boosting_known_answer"):
+        q[name] = f"SELECT o_orderkey, {urgent} AS predicted FROM orders"
+    classes = ", ".join(f"'{c}'" for c in LINE_CLASSES)
+    keys = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+    q["cls_3_svm_known_answer"] = f"SELECT {keys}, list_position([{classes}], l_returnflag || l_linestatus) - 1 AS predicted FROM lineitem"
     q["cls_11_best_row"] = f"SELECT * FROM {ORDER_SCORES} ORDER BY macro_f1 DESC, mode, classifier LIMIT 1"
     q.update(feature_queries())
     q.update(cluster_queries())

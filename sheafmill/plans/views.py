@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.vectors import from_array
 from ..session import spread
 
 PROFILE_FIELDS = """
@@ -116,6 +117,32 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("doc_id", "quality", "toxic", (F.col("quality") * 2 + F.col("toxic")).alias("label"))
 
 
+def ranked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a class that follows from two of four numbers, urgency and status; every fifth order is for testing."""
+    orders = spread(read_table(spark, sf_dir, "orders"))
+    urgency = F.substring("o_orderpriority", 1, 1).cast("double")
+    status = F.instr(F.lit("FOP"), F.col("o_orderstatus")).cast("double")
+    numbers = F.array(urgency, status, (F.col("o_custkey") % 11).cast("double"), F.floor(F.col("o_totalprice") / 10_000).cast("double"))
+    label = F.when(urgency <= 2, 1.0).otherwise(0.0) + F.when(status == 2, 2.0).otherwise(0.0)
+    split = F.when(F.col("o_orderkey") % 5 == 0, "test").otherwise("train")
+    return orders.select("o_orderkey", label.alias("label"), split.alias("split"), from_array(numbers, 4).alias("flat"))
+
+
+LINE_CLASSES = ["AF", "AO", "NF", "NO", "RF", "RO"]
+
+
+def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with return flag and status together as class, on a column per flag and per status beside two that do not tell it."""
+    lines = spread(read_table(spark, sf_dir, "lineitem"))
+    both = F.concat("l_returnflag", "l_linestatus")
+    marks = [F.col("l_returnflag") == f for f in "ANR"] + [F.col("l_linestatus") == s for s in "FO"]
+    numbers = F.array(*(m.cast("double") for m in marks), F.col("l_quantity"), F.col("l_discount"))
+    label = F.array_position(F.array(*map(F.lit, LINE_CLASSES)), both) - 1
+    split = F.when(F.col("l_orderkey") % 5 == 0, "test").otherwise("train")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return lines.select(F.struct(*keys).alias("line"), label.cast("double").alias("label"), split.alias("split"), from_array(numbers, 7).alias("flat"))
+
+
 def vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "embeddings")
 

@@ -1,0 +1,258 @@
+"""Trees, forests, boosting and linear machines: known answers, brute force, and the same results in one task and in many."""
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import functions as F
+
+from sheafmill.operators import boosting, estimators, forest, rowblocks, svm, vectors
+from sheafmill.operators.trees import LEAF, Forest, Tree
+
+
+def table(spark, x, label, parts=3, weight=None):
+    rows = [(i, [float(v) for v in r], int(y), float(1 if weight is None else weight[i])) for i, (r, y) in enumerate(zip(x, label))]
+    df = spark.createDataFrame(rows, "id int, x array<double>, label int, w double").repartition(parts, "id")
+    found = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.lit(x.shape[1] - 1)).alias("i"), F.col("x").alias("v")), lambda e: e["v"] != 0)
+    return df.withColumn("e", found).select("id", "label", "w", vectors.sparse(x.shape[1], F.col("e.i"), F.col("e.v")).alias("features"))
+
+
+def packed(df):
+    return rowblocks.pack(df, "features", "label", ["id"], "w")
+
+
+def sample(n=400, seed=0):
+    """Sparse numbers; the class follows from the first two columns."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(-3, 9, (n, 6)) * (rng.random((n, 6)) < 0.6)
+    return x.astype(float), (x[:, 0] > 2) + 2 * (x[:, 1] > 0)
+
+
+def predicted(model, df):
+    return {r.id: int(r.prediction) for r in model.transform(df).select("id", "prediction").collect()}
+
+
+# --- bins ------------------------------------------------------------------------------------
+
+
+def test_bins_keep_all_values_apart(spark):
+    x, label = sample()
+    bins = rowblocks.fit_bins(packed(table(spark, x, label)), 6)
+    for f in range(6):
+        values = np.unique(x[:, f])
+        edges = bins.edges[bins.starts[f] : bins.starts[f + 1]]
+        assert edges.tolist() == ((values[1:] + values[:-1]) / 2).tolist()
+        assert bins.zero[f] - bins.cells[f] == np.searchsorted(edges, 0.0)
+
+
+def test_bins_of_many_values_are_quantiles(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = np.stack([rng.lognormal(size=6000), np.where(rng.random(6000) < 0.9, 0.0, rng.normal(size=6000))], 1)
+    monkeypatch.setattr(rowblocks, "BLOCK_ROWS", 500)
+    bins = rowblocks.fit_bins(packed(table(spark, x, np.zeros(6000))), 2, max_bins=20)
+    counts = np.histogram(x[:, 0], [-np.inf, *bins.edges[: bins.starts[1]], np.inf])[0]
+    assert len(counts) <= 20 and counts.max() < 6000 / 20 * 1.6
+    zero = bins.edges[bins.starts[1] :]
+    assert ((x[:, 1] > zero[np.searchsorted(zero, 0.0) - 1]) & (x[:, 1] < 0)).sum() < 700 if np.searchsorted(zero, 0.0) else True
+
+
+def test_bins_of_nothing(spark):
+    empty = table(spark, np.ones((3, 2)), np.zeros(3)).where("id < 0")
+    assert rowblocks.fit_bins(packed(empty), 2).width == 2
+
+
+# --- scoring ---------------------------------------------------------------------------------
+
+
+def test_forest_scores_like_walking_each_tree():
+    rng = np.random.default_rng(2)
+    trees = []
+    for _ in range(7):
+        feature, threshold, left, right = [LEAF], [0.0], [-1], [-1]
+        for _ in range(9):
+            at = int(rng.choice([n for n, f in enumerate(feature) if f == LEAF]))
+            feature[at], threshold[at], left[at], right[at] = int(rng.integers(5)), float(rng.normal()), len(feature), len(feature) + 1
+            feature += [LEAF] * 2
+            threshold += [0.0] * 2
+            left += [-1] * 2
+            right += [-1] * 2
+        trees.append(Tree(np.array(feature), np.array(threshold), np.array(left), np.array(right), rng.random((len(feature), 3))))
+    x = rng.normal(size=(50, 5)) * (rng.random((50, 5)) < 0.7)
+    want = np.zeros((50, 3))
+    for i in range(50):
+        for t in trees:
+            n = 0
+            while t.feature[n] != LEAF:
+                n = t.left[n] if x[i, t.feature[n]] <= t.threshold[n] else t.right[n]
+            want[i] += t.value[n]
+    row, col = np.nonzero(x)
+    got = Forest(trees).summed(np.bincount(row, minlength=50), col, x[row, col], np.zeros(7, int))
+    assert np.allclose(got, want)
+
+
+# --- forest ----------------------------------------------------------------------------------
+
+
+def test_forest_is_the_same_in_one_task_and_in_many(spark):
+    x, label = sample()
+    df = packed(table(spark, x, label, weight=1 + label * 0.5))
+    whole, parted = (
+        [tuple(map(tuple, (t.feature, t.threshold, t.left, t.right))) for t in forest.trees(forest.fit(df, 6, forest.Settings(4, 12, small_rows=n)).orderBy("n", "piece").collect(), 4)]
+        for n in (10_000, 40)
+    )
+    assert len(whole) == 12
+    score = []
+    for n in (10_000, 40):
+        trees = list(forest.trees(forest.fit(df, 6, forest.Settings(4, 12, small_rows=n)).orderBy("n", "piece").collect(), 4))
+        row, col = np.nonzero(x)
+        score.append(Forest(trees).summed(np.bincount(row, minlength=len(x)), col, x[row, col], np.zeros(12, int)))
+    assert np.allclose(score[0], score[1])
+    assert sorted(len(t[0]) for t in whole) == sorted(len(t[0]) for t in parted)
+
+
+def test_forest_leaves_are_pure_without_a_limit_of_depth(spark):
+    x, label = sample(300)
+    rng = np.random.default_rng(4)
+    label = rng.integers(0, 3, 300)  # nothing to learn: only depth tells rows apart
+    x = np.concatenate([x, rng.normal(size=(300, 1))], 1)
+    trees = list(forest.trees(forest.fit(packed(table(spark, x, label)), 7, forest.Settings(3, 3)).orderBy("n", "piece").collect(), 3))
+    for t in trees:
+        leaves = t.value[t.feature == LEAF]
+        assert np.allclose(leaves.max(1), 1.0)
+
+
+def test_draws_are_poisson_and_repeatable():
+    keys = np.arange(200_000) * 7919
+    n = forest.draws(keys, 3, 42)
+    assert abs(n.mean() - 1) < 0.01 and abs((n == 0).mean() - np.exp(-1)) < 0.005 and abs((n == 3).mean() - np.exp(-1) / 6) < 0.003
+    assert (forest.draws(keys[::-1], 3, 42)[::-1] == n).all() and (forest.draws(keys, 4, 42) != n).any()
+
+
+def brute_gini(x, label, w, classes):
+    """Best score over all features and thresholds."""
+    best = None
+    for f in range(x.shape[1]):
+        for v in np.unique(x[:, f])[:-1]:
+            left = x[:, f] <= v
+            parts = [np.bincount(label[s], w[s], classes) for s in (left, ~left)]
+            score = sum((p**2).sum() / p.sum() for p in parts)
+            best = score if best is None else max(best, score)
+    return best
+
+
+def test_best_cell_is_the_purest_split(spark):
+    for seed in range(5):
+        x, _ = sample(60, seed)
+        rng = np.random.default_rng(seed)
+        label, w = rng.integers(0, 3, 60), rng.random(60) + 0.1
+        df = packed(table(spark, x, label, 1, w))
+        bins = rowblocks.fit_bins(df, 6)
+        rows = rowblocks.Rows(bins.binned(rowblocks.joined([b for batch in df.toArrow().to_batches() for b in rowblocks.arrays(batch)])), bins)
+        cells, place = rows.entries(np.arange(60))
+        found = forest.best_cell(*forest._hist(cells, rows.labels[place], rows.weights[place], 3), np.bincount(rows.labels, rows.weights, 3), bins)
+        assert abs(found[0] - brute_gini(x, label, w, 3)) < 1e-9
+
+
+# --- boosting --------------------------------------------------------------------------------
+
+
+def test_boosting_is_the_same_in_one_task_and_in_many(spark, monkeypatch):
+    x, label = sample(250)
+    df = packed(table(spark, x, label))
+    monkeypatch.setattr(boosting, "WRITE_ROUNDS", 2)
+    monkeypatch.setattr(boosting, "RANGE_BYTES", 24 * 8 * 20)
+    made = [boosting.fit(df, 6, boosting.Settings(4, rounds=5, depth=4), local_entries=n) for n in (10**6, 0)]
+    (base, one), (same, many) = made
+    assert np.allclose(base, same) and len(one) == len(many) == 5
+    for a, b in zip((t for r in one for t in r), (t for r in many for t in r)):
+        assert a.feature.tolist() == b.feature.tolist() and np.allclose(a.threshold, b.threshold) and np.allclose(a.value, b.value)
+
+
+def brute_round(x, label, classes, rate, min_leaf):
+    """First round's trees of one split each: (feature, threshold, values)."""
+    p = np.bincount(label, minlength=classes) / len(label)
+    out = []
+    for k in range(classes):
+        g, h = p[k] - (label == k), np.full(len(label), p[k] * (1 - p[k]))
+        best = (0.0,)
+        for f in range(x.shape[1]):
+            values = np.unique(x[:, f])
+            for t in (values[1:] + values[:-1]) / 2:
+                left = x[:, f] <= t
+                if min(left.sum(), (~left).sum()) >= min_leaf:
+                    gain = sum(g[s].sum() ** 2 / h[s].sum() for s in (left, ~left)) - g.sum() ** 2 / h.sum()
+                    if gain > best[0] + 1e-9:
+                        best = (gain, f, t, [-rate * g[s].sum() / h[s].sum() for s in (left, ~left)])
+        out.append(best[1:])
+    return out
+
+
+def test_first_round_of_stumps(spark):
+    x, label = sample(200, 3)
+    _, rounds = boosting.fit(packed(table(spark, x, label)), 6, boosting.Settings(4, rounds=1, depth=1))
+    for tree, (f, t, values) in zip(rounds[0], brute_round(x, label, 4, 0.1, 5)):
+        assert (tree.feature[0], tree.threshold[0]) == (f, t) and np.allclose(tree.value[[tree.left[0], tree.right[0]], 0], values)
+
+
+def test_limits_of_leaves_and_depth(spark):
+    rng = np.random.default_rng(6)
+    x, label = rng.normal(size=(600, 4)), rng.integers(0, 3, 600)
+    _, rounds = boosting.fit(packed(table(spark, x, label)), 4, boosting.Settings(3, rounds=3, leaves=9, min_leaf=2))
+    assert all((t.feature == LEAF).sum() <= 9 for r in rounds for t in r) and any((t.feature == LEAF).sum() == 9 for r in rounds for t in r)
+
+
+def test_held_out_rows_stop_the_rounds(spark):
+    rng = np.random.default_rng(7)
+    x, label = rng.normal(size=(10_500, 2)).round(1), rng.integers(0, 2, 10_500)  # nothing to learn
+    _, rounds = boosting.fit(packed(table(spark, x, label)), 2, boosting.Settings(2, rounds=200))
+    assert len(rounds) < 60
+
+
+# --- linear machines -------------------------------------------------------------------------
+
+
+def test_machines_reach_the_minimum(spark):
+    x, label = sample(300, 8)
+    weight = 1 + label * 0.25
+    df = packed(table(spark, x, label, weight=weight))
+    made = [svm.fit(df, 6, svm.Settings(4, cost=0.7, tolerance=1e-8), local_entries=n) for n in (10**6, 0)]
+    assert np.allclose(made[0], made[1], atol=1e-4)
+    full = np.concatenate([x, np.ones((300, 1))], 1)
+    for k in range(4):
+        y, w = np.where(label == k, 1.0, -1.0), made[0][:, k]
+        over = np.maximum(0, 1 - y * (full @ w))
+        assert np.abs(w - 2 * 0.7 * full.T @ (weight * over * y)).max() < 1e-3  # the gradient vanishes
+
+
+# --- stages ----------------------------------------------------------------------------------
+
+STAGES = {
+    "forest": estimators.DeepForest(numTrees=40),
+    "boosting": estimators.HistogramBoosting(maxIter=60, maxDepth=4, stepSize=0.3, minInstancesPerNode=2),
+    "svm": estimators.LinearMachines(C=1.0),
+}
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stage_learns_saves_and_reads_vectors(spark, tmp_path, name):
+    x, label = sample(500, 9)
+    if name == "svm":
+        label = np.argmax(np.stack([x[:, 0] * 2, x[:, 1] * 2, np.full(500, 3.0)], 1) + x[:, [2]] * 0, axis=1)
+        kept = np.sort(np.stack([x[:, 0] * 2, x[:, 1] * 2, np.full(500, 3.0)], 1), axis=1)
+        x, label = x[kept[:, 2] - kept[:, 1] > 2], label[kept[:, 2] - kept[:, 1] > 2]
+    df = table(spark, x, label)
+    model = Pipeline(stages=[STAGES[name].copy()]).fit(df)
+    got = predicted(model, df)
+    assert np.mean([got[i] == label[i] for i in range(len(x))]) > (0.9 if name == "svm" else 0.99)
+    model.write().overwrite().save(str(tmp_path / name))
+    again = PipelineModel.load(str(tmp_path / name))
+    assert predicted(again, vectors.as_vectors(df, ["features"])) == got
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stage_without_rows_and_with_one_class(spark, name):
+    x, _ = sample(30)
+    df = table(spark, x, np.ones(30))
+    model = STAGES[name].fit(df)
+    assert set(predicted(model, df).values()) == {1}
+    nothing = STAGES[name].fit(df.where("id < 0"))
+    assert len(predicted(nothing, df)) == 30
