@@ -22,21 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.components import connected_components
 from ..session import cut_lineage
-from .common import spans, spread, stored, text_slices
+from .common import spread, stored, text_slices
 
 SHINGLE_WORDS = 3
 SEED = 42
 RADIUS = 3
 SEGMENTS = 2
-#: For near copies: words of a shingle, similarity, bits and segments of the fingerprint of words.
-COPY_WORDS = 5
-COPY_SIMILARITY = 0.8
-WORD_RADIUS = 7
-COPY_SEGMENTS = 4
-PRINTS = ["bits", "second", "third"]
-#: Pairs that a task compares at a time, and rows of an index that it holds besides the last bucket.
-PAIRS = 4_000_000
-HELD_ROWS = 500_000
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -67,26 +58,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS, seed: int = SEED
     return _majority(shingle_hashes(text, shingle, seed))
 
 
-def set_fingerprint(text: str | None, shingle: int, longs: int) -> list[int]:
-    """64 bits a long over the distinct shingles; further longs come from the hashes scrambled again."""
-    hashes, out = np.unique(shingle_hashes(text, shingle)), []
-    for _ in range(longs):
-        out.append(_majority(hashes))
-        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        hashes ^= hashes >> np.uint64(32)
-    return out
-
-
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``(id_col, bits long)`` for every row; a null text or one without words has 0."""
+def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
+    """``(id_col, bits long)`` and the columns to keep for every row; a null text or one without words has 0."""
+    carried = [id_col, *(keep or [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, text_col):
             bits = np.array([fingerprint(t, shingle, seed) for t in part.column(text_col).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(id_col), pa.array(bits.view(np.int64))], [id_col, "bits"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array(bits.view(np.int64))], [*carried, "bits"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, bits long")
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carried)
+    return df.select(*carried, text_col).mapInArrow(run, f"{kinds}, bits long")
 
 
 def _segment(k: int, segments: int) -> tuple[int, int]:
@@ -113,120 +95,22 @@ def links(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -
     return asked.join(table, near).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, radius: int = RADIUS, segments: int = SEGMENTS) -> DataFrame:
-    """``(id_col, bits, component_id)`` for every row: the smallest id reachable over links, its own included.
+def near_duplicates(
+    df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, radius: int = RADIUS, segments: int = SEGMENTS, keep: list[str] | None = None
+) -> DataFrame:
+    """``(id_col, bits, component, component_id)`` and the columns to keep, for every row.
+
+    ``component_id`` is the smallest id reachable over links, its own included; ``component`` a fingerprint that
+    names the group, also where ids repeat.
 
     Rows with equal ids are rows of their own. A null id never is a component's id unless it has no other.
     An empty table gives an empty result.
     """
-    prints = stored(fingerprints(spread(df.select(id_col, text_col)), id_col, text_col, shingle), "simhash")
+    prints = stored(fingerprints(spread(df.select(id_col, *(keep or []), text_col)), id_col, text_col, shingle, keep=keep), "simhash")
     distinct = cut_lineage(prints.groupBy("bits").agg(F.min(id_col).alias("least")))
     components = connected_components(links(distinct, radius, segments))
     named = distinct.join(components.select(F.col("id").alias("bits"), "component"), "bits", "left")
     named = cut_lineage(named.withColumn("component", F.coalesce("component", "bits")))
     smallest = cut_lineage(named.groupBy("component").agg(F.min("least").alias("component_id")))
-    by_bits = cut_lineage(named.join(smallest, "component").select("bits", "component_id"))
-    return prints.join(by_bits, "bits").select(id_col, "bits", "component_id")
-
-
-def _ball(k: int, segments: int, radius: int) -> tuple[int, int, np.ndarray]:
-    """First bit, mask and flips of a segment."""
-    first, width = _segment(k, segments)
-    flips = [sum(1 << b for b in c) for n in range(radius // segments + 1) for c in combinations(range(width), n)]
-    return first, (1 << width) - 1, np.array(flips, np.int64)
-
-
-def spanning_links(nodes: DataFrame, radius: int, second_radius: int, segments: int) -> DataFrame:
-    """Links ``(src, dst)`` that span the components of all links between ``nodes`` ``(node, bits, second)``.
-
-    Two nodes link if ``bits`` differ in ``radius`` places or fewer, and ``second`` and ``third`` in ``second_radius`` together. The index is that
-    of ``links``, but its buckets are compared by tasks, which return a spanning forest of the links they find: a
-    crowd of near copies gives as many links as it has members, not as many as it has pairs.
-    """
-    balls = [_ball(k, segments, radius) for k in range(segments)]
-    names = ["bucket", "probe", "node", *PRINTS]
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            node, bits, second, third = (part.column(c).to_numpy() for c in ("node", *PRINTS))
-            for k, (first, mask, flips) in enumerate(balls):
-                value = (bits >> first) & mask
-                asked = value[:, None] ^ flips[None, :]
-                row, flip = np.nonzero(asked >= value[:, None])
-                for probe, at, of in ((0, np.arange(len(bits)), value), (1, row, asked[row, flip])):
-                    yield pa.RecordBatch.from_arrays([pa.array(of * segments + k), pa.array(np.full(len(at), probe, np.int8)), *(pa.array(c[at]) for c in (node, bits, second, third))], names)
-
-    def compare(bucket: np.ndarray, probe: np.ndarray, node: np.ndarray, bits: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Spanning links among whole buckets, which come sorted, tables before probes."""
-        bits, second, third = (c.view(np.uint64) for c in (bits, second, third))  # bits of signed numbers count otherwise
-        table, asks = np.flatnonzero(probe == 0), np.flatnonzero(probe == 1)
-        low, high = (np.searchsorted(bucket[table], bucket[asks], side=s) for s in ("left", "right"))
-        root: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        found: list[tuple[int, int]] = []
-        sizes = high - low
-        turns = np.cumsum(sizes) // PAIRS
-        for own in np.split(np.arange(len(asks)), np.flatnonzero(np.diff(turns)) + 1):
-            at = np.repeat(asks[own], sizes[own])
-            to = table[spans(low[own], sizes[own])]
-            near = np.flatnonzero((np.bitwise_count(bits[at] ^ bits[to]) <= radius) & (node[at] != node[to]))
-            at, to = at[near], to[near]
-            near = np.bitwise_count(second[at] ^ second[to]).astype(np.int64) + np.bitwise_count(third[at] ^ third[to]) <= second_radius
-            for x, y in np.unique(np.sort(np.stack([node[at[near]], node[to[near]]], 1), axis=1), axis=0).tolist():
-                a, b = find(root.setdefault(x, x)), find(root.setdefault(y, y))
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    found.append((x, y))
-        ends = np.array(found, np.int64).reshape(-1, 2)
-        return ends[:, 0], ends[:, 1]
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for part in batches:
-            rows = [part.column(c).to_numpy() for c in names]
-            held = [np.concatenate([h, r]) for h, r in zip(held, rows)] if held else rows
-            if len(held[0]) < HELD_ROWS:
-                continue
-            whole = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
-            if whole:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in compare(*(h[:whole] for h in held))], ["src", "dst"])
-                held = [h[whole:] for h in held]
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in compare(*held)], ["src", "dst"])
-
-    sent = nodes.select("node", *PRINTS).mapInArrow(send, "bucket long, probe byte, node long, bits long, second long, third long")
-    tasks = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes.sparkSession.sparkContext.defaultParallelism)
-    return sent.repartition(tasks, "bucket").sortWithinPartitions("bucket", "probe").mapInArrow(meet, "src long, dst long").distinct()
-
-
-def near_copies(df: DataFrame, id_col: str, text_col: str, shingle: int = COPY_WORDS, radius: int = WORD_RADIUS, similarity: float = COPY_SIMILARITY, segments: int = COPY_SEGMENTS) -> DataFrame:
-    """``(id_col, component_id)``: groups of near copies, for every row with an id.
-
-    Candidates agree in all but ``radius`` bits of the fingerprint of their distinct words, which near copies of any
-    length do. They link if the fingerprints, of 128 bits, of their distinct ``shingle``-word shingles are as close as sets of the given
-    Jaccard similarity are expected to be, one standard deviation of the estimate allowed. Texts without words
-    have fingerprints of zero and link like any others. Rows with equal ids are one document; rows without an id are
-    left out. An empty table gives an empty result.
-    """
-    rows = spread(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    second_radius = round(128 * share + np.sqrt(128 * share * (1 - share)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
-            texts = part.column("text").to_pylist()
-            prints = np.array([set_fingerprint(t, 1, 1) + set_fingerprint(t, shingle, 2) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(prints[:, n]) for n in range(3))], ["id", *PRINTS])
-
-    prints = stored(rows.mapInArrow(run, "id long, bits long, second long, third long"), "copies")
-    nodes = cut_lineage(prints.groupBy(*PRINTS).agg(F.min("id").alias("node")))
-    components = connected_components(spanning_links(nodes, radius, second_radius, segments))
-    named = nodes.join(components, F.col("node") == F.col("id"), "left").select(*PRINTS, F.coalesce("component", "node").alias("component_id"))
-    named = prints.join(cut_lineage(named), PRINTS).select(F.col("id").alias(id_col), "component_id")
-    return named.groupBy(id_col).agg(F.min("component_id").alias("component_id"))
+    by_bits = cut_lineage(named.join(smallest, "component").select("bits", "component", "component_id"))
+    return prints.join(by_bits, "bits").select(id_col, *(keep or []), "bits", "component", "component_id")

@@ -166,42 +166,3 @@ def test_index_finds_every_pair(spark, radius, segments):
     values = sorted(v - 2**64 if v >= 2**63 else v for v in values)
     found = {(r.src, r.dst) for r in simhash.links(spark.createDataFrame([(v,) for v in values], "bits long"), radius, segments).collect()}
     assert found == {(a, b) for n, a in enumerate(values) for b in values[n + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= radius}
-
-
-@pytest.mark.parametrize("held", [500_000, 40])
-def test_spanning_links_keep_components(spark, monkeypatch, held):
-    from sheafmill.operators.components import connected_components
-
-    monkeypatch.setattr(simhash, "HELD_ROWS", held)
-    rng = np.random.default_rng(5)
-    base = rng.integers(0, 2**63, 8, dtype=np.int64)
-    values = [int(b) ^ sum(1 << int(p) for p in rng.choice(64, rng.integers(0, 7), replace=False)) for b in base for _ in range(15)]
-    values = [v - 2**64 if v >= 2**63 else v for v in values]
-    rows = [(n, v, v, 0) for n, v in enumerate(values)]
-    nodes = spark.createDataFrame(rows, "node long, bits long, second long, third long")
-    spanning = simhash.spanning_links(nodes, 7, 5, 4)
-    got = {r.id: r.component for r in connected_components(spanning).collect()}
-    want = grouped(list(enumerate(values)), lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 5)
-    assert [got.get(n, n) for n in range(len(values))] == want
-
-
-def test_near_copies(spark, odd_documents):
-    rng = np.random.default_rng(3)
-    words = [f"w{n}" for n in range(3000)]
-    texts, want = {}, {}
-    for g in range(30):
-        own = rng.choice(words, 150).tolist()
-        for c in range(4):
-            copy = list(own)
-            if c:
-                copy[int(rng.integers(150))] = "changed"
-            texts[g * 10 + c] = " ".join(copy)
-            want[g * 10 + c] = g * 10
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, "doc_id", "text").collect()}
-    assert set(got) == set(want)
-    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
-    assert all(got[i] // 10 == i // 10 for i in got)  # unlike texts stay apart
-    odd = {r.doc_id: r.component_id for r in simhash.near_copies(odd_documents, "doc_id", "text").collect()}
-    assert odd[3] == odd[4] == odd[5] == 3 and odd[1] == odd[9] == 1 and odd[6] == 6 and odd[7] == 7
-    assert simhash.near_copies(odd_documents.where("false"), "doc_id", "text").count() == 0
