@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sheafmill.llm import packing, quality, simhash, substring
 from sheafmill.llm.common import read, stored
 from sheafmill.llm.queries import word_bpe_path
+from sheafmill.session import cut_lineage
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,15 +26,20 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id; repeated rows of it once.
+    """One document of each group of near duplicates: that of the smallest id, and of the smallest text hash among equal ids.
 
-    Rows without an id cannot be told apart from their copies and stay as they are. Texts without words
-    are copies of each other.
+    Groups are those of the SimHash operator. Rows without an id stay only where no row of their group has one. Repeated
+    rows stay once; unlike texts under one id are documents of their own.
     """
-    groups = simhash.near_copies(docs, "doc_id", "text")
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
+    found = simhash.near_duplicates(rows, "doc_id", "text", keep=["_text_hash"])
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("_text_hash").alias("hash"))
+    stays = cut_lineage(found.groupBy("component").agg(F.min(order).alias("s")).select("s.*"))
+    kept = rows.join(stays, rows["doc_id"].eqNullSafe(stays["id"]) & (rows["_text_hash"] == stays["hash"]), "left_semi")
+    repeated = found.groupBy("doc_id", "_text_hash").count().where("count > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "_text_hash"])
+    return kept.select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
