@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import entities, handcrafted, html, text
 from ..operators import (
-    classify, cluster, dbscan, embed, features, graph, labels, latent, metrics, mining, resample, scaling, selection,
+    classify, cluster, dbscan, embed, features, graph, labels, latent, metrics, microclusters, mining, resample, scaling, selection,
     silhouette, splits, tfidf, vectors,
 )
 from ..session import cut_lineage, ensure_checkpoint_dir
@@ -656,10 +656,10 @@ def res_1_smote_counts(spark, d):
 
 @query
 def res_1_smote_rows(spark, d):
-    """Synthetic embeddings: classes of the vector table raised to the largest."""
+    """Synthetic embeddings: classes of the vector table raised to the largest, all rows with all values."""
     rows = views.vecs(spark, d).select("vec_id", "label", vectors.from_array(F.col("embedding"), 64).alias("row"))
     grown = resample.smote(rows, "vec_id", "label", "row", 64)
-    return grown.groupBy("label").agg(F.count("*").alias("n"), F.count_if("synthetic").alias("n_synthetic"))
+    return grown.select("vec_id", "label", "synthetic", F.posexplode("row.values").alias("i", "value")).withColumn("value", r6("value"))
 
 
 def _lang_task(spark, d, terms=300):
@@ -753,6 +753,16 @@ def clu_3_hierarchical(spark, d):
     return rounded(cluster.results_table(spark, [found]).select("method", "k", "silhouette", "nmi", "ari"))
 
 
+@query
+def clu_3_ward_known_groups(spark, d):
+    """Customers by nation, far apart, and balance: as many clusters as nations, each named by its first customer."""
+    place = F.array(F.col("c_nationkey") * 100.0, F.col("c_acctbal") / 10_000)
+    rows = views.read_table(spark, d, "customer").select("c_custkey", "c_nationkey", place.alias("place"))
+    found = microclusters.agglomerate(rows, "place", rows.select("c_nationkey").distinct().count())
+    first = found.groupBy("cluster").agg(F.min("c_custkey").alias("first_of_cluster"))
+    return found.join(first, "cluster").select("c_custkey", "first_of_cluster")
+
+
 @query
 def clu_4_dbscan(spark, d):
     return dbscan.dbscan(views.vecs(spark, d), "vec_id", "embedding", 1.2)

@@ -287,13 +287,28 @@ def cluster_queries() -> dict[str, str]:
     grown = """SELECT label, max(n) OVER () AS n, max(n) OVER () - n AS n_synthetic FROM"""
     train = sql_split(JUDGED, "doc_id", "label", 0.15, 0.15, 42)
     q["res_1_smote_counts"] = f"{grown} (SELECT label, count(*) AS n FROM ({train}) WHERE split = 'train' GROUP BY label)"
-    q["res_1_smote_rows"] = f"{grown} (SELECT label, count(*) AS n FROM embeddings GROUP BY label)"
+    unit = lambda text: f"('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296"
+    q["res_1_smote_rows"] = f"""
+      WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings),
+      c AS (SELECT label, count(*) AS n FROM e GROUP BY 1),
+      m AS (SELECT max(n) AS hi, least(5, min(n) - 1) AS k FROM c),
+      need AS (SELECT label, (hi - n) // n AS each, (hi - n) % n AS odd, k FROM c, m WHERE hi > n),
+      base AS (SELECT e.*, k, each + CASE WHEN row_number() OVER (PARTITION BY e.label ORDER BY md5('42-' || vec_id), vec_id::VARCHAR) <= odd THEN 1 ELSE 0 END AS copies
+        FROM e JOIN need USING (label)),
+      near AS (SELECT a.vec_id, b.x AS y, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id) AS rank
+        FROM base a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+      numbered AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM base),
+      drawn AS (SELECT *, floor({unit("vec_id || '-' || copy || '-42'")} * k) + 1 AS rank, {unit("copy || '-' || vec_id || '-43'")} AS u FROM numbered),
+      grown AS (SELECT d.vec_id, label, true AS synthetic, list_transform(range(1, 65), lambda i: x[i] + u * (y[i] - x[i])) AS v FROM drawn d JOIN near USING (vec_id, rank)
+        UNION ALL SELECT vec_id, label, false, x FROM e)
+      SELECT vec_id, label, synthetic, unnest(range(64))::INT AS i, round(unnest(v), 6) AS value FROM grown"""
     q["eva_4_silhouette"] = f"""
       WITH s AS (SELECT * FROM {vec}),
-      p AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x) ** 2) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
+      p AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
       i AS (SELECT id, total / (n - 1) AS inside FROM p WHERE own = other AND n > 1),
       o AS (SELECT id, min(total / n) AS outside FROM p WHERE own <> other GROUP BY id)
-      SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 6) AS silhouette FROM o LEFT JOIN i USING (id)"""
+      SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 6) AS silhouette, 0.0::DOUBLE AS error FROM o LEFT JOIN i USING (id)"""
+    q["clu_3_ward_known_groups"] = "SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey) AS first_of_cluster FROM customer"
     q["clu_4_dbscan"] = sql_dbscan(vec, 1.2, 5, "vec_id")
     q["clu_4_dbscan_customers"] = sql_dbscan(
         "(SELECT c_custkey AS id, [c_nationkey::DOUBLE, c_acctbal / 1000] AS x FROM customer)", 0.5, 5, "c_custkey"

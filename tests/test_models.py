@@ -2,9 +2,9 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
-from sheafmill.operators import classify, cluster, components, dbscan, metrics, neighbours, ordering, resample, silhouette, vectors
+from sheafmill.operators import classify, cluster, components, dbscan, metrics, microclusters, neighbours, ordering, resample, silhouette, vectors
 from sheafmill.sources import stored
 
 
@@ -61,43 +61,84 @@ def test_number_rows(spark):
     assert all(r.n == r.k for r in ordering.number_rows(df, "k", "n").collect())
 
 
-def test_silhouette(spark):
-    rng = np.random.default_rng(3)
-    data = rng.normal(size=(40, 3))
-    lab = np.array([0] * 20 + [1] * 19 + [2])
+def brute_silhouette(data, lab):
     dist = np.sqrt(((data[:, None] - data[None]) ** 2).sum(2))
     scores = []
-    for i in range(40):
-        same = (lab == lab[i]) & (np.arange(40) != i)
+    for i in range(len(data)):
+        same = (lab == lab[i]) & (np.arange(len(data)) != i)
         if not same.any():
             scores.append(0.0)
             continue
         a = dist[i, same].mean()
         b = min(dist[i, lab == c].mean() for c in set(lab) - {lab[i]})
         scores.append((b - a) / max(a, b))
+    return np.mean(scores)
+
+
+def test_silhouette(spark):
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(60, 3)) + 1000  # far from the origin, where expanded squares would cancel
+    data[40:] = data[20:40]  # copies
+    lab = np.array([0] * 20 + [1] * 19 + [2] + [0] * 20)
     df = points_table(spark, data, lab)
-    assert abs(silhouette.silhouette(df, "id", "x", "label", sample_size=100).first().silhouette - np.mean(scores)) < 1e-9
-    for size in (None, 100):
-        assert silhouette.silhouette(df.where("label = 0"), "id", "x", "label", sample_size=size).first().silhouette is None
+    found = silhouette.silhouette(df, "id", "x", "label").first()
+    assert abs(found.silhouette - brute_silhouette(data, lab)) < 1e-6 and found.error == 0
+    assert silhouette.silhouette(df.where("label = 1"), "id", "x", "label").first().silhouette is None
 
 
-def test_silhouette_over_all_rows(spark):
+@pytest.mark.parametrize("anchors", [60, 300, 1200])
+def test_silhouette_stays_within_its_error(spark, anchors):
     rng = np.random.default_rng(8)
-    data = rng.normal(size=(2600, 4)) + 1000  # far from the origin, where expanded squares would cancel
-    lab = rng.integers(0, 3, 2600)
-    data[:, 0] += lab
-    lab[0] = 9
-    dist = ((data[:, None] - data[None]) ** 2).sum(2)
-    sums = np.stack([dist[:, lab == c].sum(1) for c in (0, 1, 2, 9)], 1)
-    size = np.array([(lab == c).sum() for c in (0, 1, 2, 9)])
-    own = np.searchsorted([0, 1, 2, 9], lab)
-    inside = sums[np.arange(2600), own] / np.maximum(size[own] - 1, 1)
-    mean = sums / size
-    mean[np.arange(2600), own] = np.inf
-    outside = mean.min(1)
-    want = np.where(size[own] == 1, 0.0, (outside - inside) / np.maximum(inside, outside)).mean()
-    df = points_table(spark, data, lab).repartition(5)
-    assert abs(silhouette.silhouette(df, "id", "x", "label").first().silhouette - want) < 1e-6
+    lab = rng.integers(0, 3, 900)
+    data = rng.normal(size=(900, 2)) * 0.3 + lab[:, None] * [[2.0, 1.0]]
+    found = silhouette.silhouette(points_table(spark, data, lab).repartition(5), "id", "x", "label", anchors).first()
+    off = abs(found.silhouette - brute_silhouette(data, lab))
+    assert off <= found.error + 1e-9 and found.error < 2 and off < (0.05 if anchors == 60 else 0.01)
+
+
+def brute_ward(data, weight, k):
+    groups = [[i] for i in range(len(data))]
+    while len(groups) > k:
+        best = None
+        for i in range(len(groups)):
+            for j in range(i + 1, len(groups)):
+                (a, ca), (b, cb) = ((weight[g].sum(), np.average(data[g], axis=0, weights=weight[g])) for g in (groups[i], groups[j]))
+                cost = a * b / (a + b) * ((ca - cb) ** 2).sum()
+                if best is None or cost < best[0]:
+                    best = cost, i, j
+        groups[best[1]] += groups.pop(best[2])
+    return {frozenset(g) for g in groups}
+
+
+@pytest.mark.parametrize("k", [1, 3, 8, 40])
+def test_ward_like_merging_the_closest_pair(k):
+    rng = np.random.default_rng(k)
+    data, weight = rng.normal(size=(40, 3)), rng.integers(1, 5, 40)
+    found = microclusters.ward(weight, data, k)
+    assert {frozenset(np.flatnonzero(found == c).tolist()) for c in set(found.tolist())} == brute_ward(data, weight, k)
+
+
+def test_agglomerate_rows_copies_and_many_rows(spark):
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(50, 2)).round(2)
+    data = np.concatenate([data, data[:20], data[:5]])
+    got = {r.id: r.cluster for r in microclusters.agglomerate(points_table(spark, data), "x", 6).collect()}
+    of_distinct, at = np.unique(data, axis=0, return_inverse=True)
+    want = brute_ward(of_distinct, np.bincount(at), 6)
+    assert {frozenset(at[i] for i in got if got[i] == c) for c in set(got.values())} == want
+    many = np.concatenate([rng.normal(0, 0.4, (1500, 4)) + 6 * c for c in range(5)])
+    got = {r.id: r.cluster for r in microclusters.agglomerate(points_table(spark, many, parts=7), "x", 5, most=60).collect()}
+    assert all(len({got[i] for i in range(c * 1500, (c + 1) * 1500)}) == 1 for c in range(5)) and len(set(got.values())) == 5
+    assert microclusters.agglomerate(points_table(spark, data).where("id < 0"), "x", 3).count() == 0
+
+
+def test_micro_clusters_keep_sums_and_reach(spark):
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(3000, 3))
+    found = microclusters.summarise(points_table(spark, data, parts=6), "x", 50).collect()
+    assert len(found) <= 50 and sum(r.n for r in found) == 3000 and np.allclose(sum(np.array(r.total) for r in found), data.sum(0))
+    near = np.sqrt(((data[:, None] - np.array([r.anchor for r in found])[None]) ** 2).sum(2))
+    assert (near <= np.array([r.reach for r in found]) + 1e-9).any(1).all()
 
 
 def test_reduced_shape(spark):
@@ -140,46 +181,67 @@ def feature_rows(spark, data, lab):
     return df.select("id", "label", vectors.from_array(F.col("x"), data.shape[1]).alias("row"))
 
 
-def test_neighbours_exact_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("size", [16, 1000])
+def test_neighbours_are_exact(spark, monkeypatch, size):
     rng = np.random.default_rng(5)
-    data, lab = rng.random((90, 4)), np.array([0] * 60 + [1] * 30)
-    monkeypatch.setattr(neighbours, "block_rows", lambda width: 16)
+    data, lab = rng.random((150, 4)), np.array([0] * 90 + [1] * 30 + [2] * 30)
+    data[40:70] = data[3]  # a crowd of copies
+    monkeypatch.setattr(neighbours, "block_rows", lambda width: size)
+    monkeypatch.setattr(neighbours, "VISITORS", 1)
     rows = feature_rows(spark, data, lab).withColumn("ask", F.lit(True))
     got = {r.id: r.neighbours for r in neighbours.nearest_in_group(rows, "id", "label", "row", "ask", 4, 3).collect()}
     assert got == knn(data, lab, 3)
 
 
-def test_neighbours_along_directions(spark, monkeypatch):
-    """Beyond the exact limit, with a crowd of copies: all rows take part, neighbours stay in class."""
-    rng = np.random.default_rng(6)
-    data = np.concatenate([rng.random((120, 4)), np.tile([[0.5] * 4], (60, 1))])
-    lab = np.array([0, 1] * 90)
-    monkeypatch.setattr(neighbours, "block_rows", lambda width: 20)
-    rows = feature_rows(spark, data, lab).withColumn("ask", F.lit(True))
-    found = neighbours.nearest_in_group(rows, "id", "label", "row", "ask", 4, 3, exact_rows=10)
-    got = {r.id: r.neighbours for r in found.collect()}
-    assert len(got) == 180
-    assert all(lab[i] == lab[j] and i != j for i, near in got.items() for j in near)
-    assert all(1 <= len(set(near)) <= 3 for near in got.values())
-
-
-@pytest.mark.parametrize("exact_rows", [1000, 5])
-def test_smote(spark, exact_rows):
+def test_neighbours_of_sparse_rows_odd_groups_and_few_that_ask(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "block_rows", lambda width: 8)
+    rng = np.random.default_rng(1)
+    data = rng.random((60, 5)) * (rng.random((60, 5)) < 0.4)
+    df = points_table(spark, data, np.arange(60) % 2)
+    kept = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.lit(4)).alias("i"), F.col("x").alias("v")), lambda e: e["v"] != 0)
+    rows = df.withColumn("e", kept).select(F.col("id"), F.when(F.col("label") == 1, "b").alias("g"), vectors.sparse(5, F.col("e.i"), F.col("e.v")).alias("row"), (F.col("id") % 3 == 0).alias("ask"))
+    got = {r.id: r.neighbours for r in neighbours.nearest_in_group(rows, "id", "g", "row", "ask", 5, 4).collect()}
+    want = knn(data, np.arange(60) % 2, 4)
+    assert got == {i: want[i] for i in range(0, 60, 3)}  # the group without a name is a group
+    alone = neighbours.nearest_in_group(rows.where("id = 3"), "id", "g", "row", "ask", 5, 4)
+    assert alone.count() == 0
+
+
+def test_rows_in_clumps_visit_few_cells(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "block_rows", lambda width: 100)
+    rng = np.random.default_rng(2)
+    data = np.concatenate([rng.normal(0, 0.2, (150, 3)) + c * 10 for c in range(20)])
+    rows = feature_rows(spark, data, np.zeros(3000, int)).withColumn("ask", F.lit(True))
+    told = Observation("moved")
+    got = {r.id: r.neighbours for r in neighbours.nearest_in_group(rows, "id", "label", "row", "ask", 3, 5, told).collect()}
+    assert got == knn(data, np.zeros(3000), 5)
+    assert told.get["visits"] < 8 * 3000  # all blocks would be 30 or more a row
+
+
+def test_smote(spark):
     rng = np.random.default_rng(7)
     lab = np.array([0] * 40 + [1] * 13 + [2] * 9)
     data = rng.random((62, 3)) + lab[:, None] * 10
-    grown = resample.smote(feature_rows(spark, data, lab), "id", "label", "row", 3, exact_rows=exact_rows).collect()
+    grown = resample.smote(feature_rows(spark, data, lab), "id", "label", "row", 3).collect()
     assert all(sum(r.label == c for r in grown) == 40 for c in range(3))
     assert sum(not r.synthetic for r in grown) == 62
+    near = knn(data, lab, 5)
     for r in grown:
         if r.synthetic:
             base, point = data[r.id], np.array(r.row["values"])
-            others = data[(lab == r.label)]
-            # on a segment from its base to some row of the class
-            off = [np.linalg.norm(np.cross(point - base, o - base)) for o in others if not np.array_equal(o, base)]
+            # on the segment from its base to one of the five nearest of the class
+            off = [np.linalg.norm(np.cross(point - base, data[o] - base)) for o in near[r.id]]
             assert min(off) < 1e-9 and lab[r.id] == r.label
 
 
+def test_between_sparse_rows(spark):
+    row = lambda i, v: (0, 6, i, v)
+    kind = "a struct<type: tinyint, size: int, indices: array<int>, values: array<double>>, b struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    df = spark.createDataFrame([(row([0, 3], [1.0, 2.0]), row([3, 5], [4.0, 8.0])), (row([], []), row([1], [1.0]))], kind)
+    got = df.select(resample.between(F.col("a"), F.col("b"), F.lit(0.25)).alias("r")).collect()
+    assert [(r.r.indices, r.r["values"]) for r in got] == [([0, 3, 5], [0.75, 2.5, 2.0]), ([1], [0.25])]
+
+
 def test_smote_clamp(spark):
     data, lab = np.random.default_rng(8).random((13, 3)), np.array([0] * 10 + [1] * 3)
     grown = resample.smote(feature_rows(spark, data, lab), "id", "label", "row", 3).collect()
