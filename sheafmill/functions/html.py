@@ -196,10 +196,15 @@ def section_rows(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     )
 
 
-def section_coverage(df: DataFrame) -> DataFrame:
-    """One row: how many documents have each section, and in percent."""
+def coverage_measures() -> list[Column]:
+    """How many documents there are and have each section, and in percent."""
     has = {c: F.length(f"{c}_text") > 0 for c in ("skills", "experience", "education")}
     has["any"] = has["skills"] | has["experience"] | has["education"]
     counts = [F.count_if(v).alias(f"{k}_n") for k, v in has.items()]
     shares = [(F.count_if(v) * 100.0 / F.count("*")).alias(f"{k}_pct") for k, v in has.items()]
-    return df.agg(F.count("*").alias("total"), *counts, *shares)
+    return [F.count("*").alias("total"), *counts, *shares]
+
+
+def section_coverage(df: DataFrame) -> DataFrame:
+    """One row of ``coverage_measures``."""
+    return df.agg(*coverage_measures())

@@ -167,15 +167,20 @@ def with_section_attributes(df: DataFrame) -> DataFrame:
     ).withColumn("num_skills", F.size("skills_tokens"))
 
 
-def token_statistics(df: DataFrame) -> DataFrame:
-    """One row: mean token counts of the sections and the number of rows with years found."""
-    return df.agg(
+def token_measures() -> list[Column]:
+    """Mean token counts of the sections and the number of rows with years found."""
+    return [
         F.avg("num_skills").alias("avg_skills_tokens"),
         F.avg(F.size("experience_tokens")).alias("avg_experience_tokens"),
         F.avg(F.size("education_tokens")).alias("avg_education_tokens"),
         F.count_if(F.col("years_experience") > 0).alias("with_years"),
         F.count("*").alias("total"),
-    )
+    ]
+
+
+def token_statistics(df: DataFrame) -> DataFrame:
+    """One row of ``token_measures``."""
+    return df.agg(*token_measures())
 
 
 def degree_histogram(df: DataFrame) -> DataFrame:

@@ -523,9 +523,8 @@ def txt_25_entity_counts(spark, d):
 
 @query
 def fea_6_handcrafted(spark, d):
-    rows = views.section_table(spark, d)
-    counts = entities.entity_counts(rows, "doc_id", "full_text", _gazetteer(spark, d))
-    numbers = rows.join(counts, "doc_id").withColumn("hc", handcrafted.handcrafted("full_text", with_entities=True))
+    rows = entities.with_entity_counts(views.section_table(spark, d), "doc_id", "full_text", _gazetteer(spark, d))
+    numbers = rows.withColumn("hc", handcrafted.handcrafted("full_text", with_entities=True))
     names = handcrafted.BASE_NAMES + handcrafted.ENTITY_NAMES
     return numbers.select("doc_id", *[F.col("hc")[i].alias(n) for i, n in enumerate(names)])
 
@@ -583,21 +582,28 @@ def fea_10_standardised(spark, d):
     return scaled.select("vec_id", "i", r6("v", "value"))
 
 
+def _semantic(spark, d):
+    """Profiles with their ten numbers and embedding, and the semantic set fitted on the training rows."""
+    rows = entities.with_entity_counts(views.section_table(spark, d), "doc_id", "full_text", _gazetteer(spark, d))
+    rows = cut_lineage(_embedded(spark, d, splits.stratified_split(rows, "doc_id", "category")))
+    return rows, embed.fit_semantic(_train(rows), ["emb"], "full_text", with_entities=True)
+
+
 @query
 def fea_10_semantic_features(spark, d):
-    rows = features.with_section_terms(splits.stratified_split(views.section_table(spark, d), "doc_id", "category"))
-    joined = _embedded(spark, d, rows)
-    fitted = embed.fit_semantic(_train(joined), ["emb"], "full_text")
-    return _summary(fitted.transform(joined), "semantic")
+    rows, fitted = _semantic(spark, d)
+    return _summary(fitted.transform(rows), "semantic")
 
 
 @query
 def fea_11_combined(spark, d):
-    rows = _embedded(spark, d, _split_docs(spark, d))
-    model = tfidf.fit_tfidf(_train(rows), "terms", 500)
-    flat = model.transform(rows, "terms", "flat").withColumn("semantic", vectors.from_array(F.col("emb"), 64))
-    both = flat.withColumn("combined", features.combined(F.col("flat"), model.width, F.col("semantic"), 64))
-    return _summary(both, "combined")
+    """Flat terms beside the semantic set of all profiles."""
+    rows, fitted = _semantic(spark, d)
+    rows = tfidf.with_terms(fitted.transform(rows), "full_text", "terms")
+    model = tfidf.fit_tfidf(_train(rows), "terms", 8000)
+    flat = model.transform(rows, "terms", "flat")
+    both = features.combined(F.col("flat"), model.width, F.col("semantic"), fitted.width)
+    return _summary(flat.withColumn("combined", both), "combined")
 
 
 @query
@@ -811,6 +817,37 @@ def _folder(spark):
     return f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
 
 
+def _documents_csv(spark, d):
+    """The documents as a CSV folder, with quotes and line ends in their texts."""
+    path = f"{_folder(spark)}.csv"
+    rows = views.docs(spark, d).select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("resume_text"), "category")
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return path
+
+
+@query
+def src_1_csv_documents(spark, d):
+    read = documents.load_documents(spark, _documents_csv(spark, d))
+    return read.select(F.col("ID").alias("doc_id"), F.md5("Resume_str").alias("text_md5"), F.col("Category").alias("category"))
+
+
+@query
+def src_1_damaged_csv(spark, d):
+    """Customers as CSV lines of which some lack or have too many values, or have no number: good and damaged rows told apart."""
+    path = f"{_folder(spark)}.csv"
+    fields = F.concat_ws(",", "c_custkey", F.concat(F.lit('"'), "c_name", F.lit('"')), "c_mktsegment")
+    line = F.when(F.col("c_custkey") % 10 == 3, F.concat_ws(",", "c_custkey", "c_name")).when(F.col("c_custkey") % 10 == 5, F.concat(fields, F.lit(",extra")))
+    line = line.when(F.col("c_custkey") % 10 == 7, F.concat(F.lit("x"), fields)).otherwise(fields)
+    rows = views.read_table(spark, d, "customer").select(F.lit(1).alias("part"), "c_custkey", line.alias("value"))
+    head = spark.createDataFrame([(0, -1, "ID,Resume_str,Category")], "part int, c_custkey long, value string")
+    rows.unionByName(head).coalesce(1).sortWithinPartitions("part", "c_custkey").select("value").write.text(path)
+    quarantine = _folder(spark)
+    good = documents.load_documents(spark, path, quarantine)
+    good = good.select(F.col("ID").alias("c_custkey"), F.col("Resume_str").alias("name"), F.col("Category").alias("segment"), F.lit(None).cast("string").alias("record"))
+    bad = documents.damaged(spark, quarantine).select(F.lit(None).cast("long").alias("c_custkey"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("segment"), "record")
+    return good.unionByName(bad)
+
+
 @query
 def src_2_canonical_columns(spark, d):
     pages = views.read_table(spark, d, "pages")
@@ -822,6 +859,25 @@ def src_3_dense_ids(spark, d):
     return documents.with_dense_ids(views.read_table(spark, d, "customer").select("c_custkey", "c_name"), "row_id")
 
 
+@query
+def src_4_second_table(spark, d):
+    """Suppliers as CSV, read with their types."""
+    path = f"{_folder(spark)}.csv"
+    views.read_table(spark, d, "supplier").write.option("header", True).csv(path)
+    return documents.load_table(spark, path)
+
+
+@query
+def snk_3_result_files(spark, d):
+    """A result table as one file, and one of a row per customer as several, read back."""
+    one, many = f"{_folder(spark)}.csv", f"{_folder(spark)}.csv"
+    customers = views.read_table(spark, d, "customer")
+    stored.save_results(customers.groupBy("c_mktsegment").agg(F.count("*").alias("n")), one)
+    stored.save_results(customers.select("c_custkey", "c_mktsegment").repartition(3), many, single=False)
+    counts = documents.load_table(spark, one)
+    return documents.load_table(spark, many).join(counts, "c_mktsegment")
+
+
 @query
 def snk_1_src_5_stored_splits(spark, d):
     path = _folder(spark)
@@ -862,14 +918,47 @@ def cls_9_set_3_feature_sets(spark, d):
     return rounded(results)
 
 
-@query
-def pip_1_parse_stage(spark, d):
-    """Documents written as a table, then the whole parse stage over it."""
+def _parsed(spark, d):
+    """The profiles written as a table, the work folder, and what the parse stage made of them."""
     path = _folder(spark)
     pages = views.profiles(spark, d)
     text = F.concat_ws(" ", "skills_src", "exp_src", "edu_src")
     stored.write_stage(pages.select(F.col("doc_id").alias("id"), text.alias("Resume_Text"), F.col("html").alias("resume_html"), "category"), f"{path}/source")
-    parsed = stages.run_parsing(spark, f"{path}/source", path)
+    return path, *stages.parse_and_report(spark, f"{path}/source", path)
+
+
+@query
+def pip_1_report(spark, d):
+    """What the parse stage observed while it wrote: section coverage and token statistics."""
+    _, _, report = _parsed(spark, d)
+    return rounded(report["coverage"].join(report["tokens"], "total"))
+
+
+@query
+def pip_1_report_degrees(spark, d):
+    _, _, report = _parsed(spark, d)
+    return report["degrees"]
+
+
+@query
+def pip_2_feature_stage(spark, d):
+    """The feature stage at its full sizes, with entities and embeddings: the flat and section sets of all profiles."""
+    path, _, _ = _parsed(spark, d)
+    vecs = views.vecs(spark, d)
+    n = vecs.count()
+    ids = views.read_table(spark, d, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % n).alias("vec_id"))
+    table = ids.join(vecs.select("vec_id", "embedding"), "vec_id").select("id", "embedding")
+    made = stages.run("features", spark, None, path, embeddings=(table, "id", ["embedding"]), gazetteer=_gazetteer(spark, d))
+    open_rows = {m: vectors.open_row(made, m) for m in ("flat", "section", "semantic")}
+    rows = made.select(F.col("ID").alias("doc_id"), "split", *(r.alias(m) for m, r in open_rows.items()))
+    lengths = [r6(F.sqrt(F.aggregate(F.col(m)["values"], F.lit(0.0), lambda a, v: a + v * v)), f"{m}_length") for m in open_rows]
+    return rows.select("doc_id", "split", *(F.size(F.col(m)["values"]).alias(f"{m}_entries") for m in open_rows), *lengths)
+
+
+@query
+def pip_1_parse_stage(spark, d):
+    """Documents written as a table, then the whole parse stage over it."""
+    _, parsed, _ = _parsed(spark, d)
     return parsed.select(
         F.col("ID").alias("doc_id"), F.col("Category").alias("category"), "split", "experience_text", "education_text",
         F.array_join("skills_tokens", "|").alias("skills"), "years_experience", "degree_level",

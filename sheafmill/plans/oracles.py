@@ -227,11 +227,14 @@ def feature_queries() -> dict[str, str]:
     q["txt_25_entity_counts"] = f"SELECT doc_id, {org} AS org_count, {gpe} AS gpe_count FROM {PROFILES} p"
     degree = "CASE degree_level " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in fv.DEGREE_CODES.items()) + " END"
     senior = "CASE " + " ".join(f"WHEN regexp_matches(lower(full_text), '{p}') THEN {v}" for p, v in fv.SENIORITY_PATTERNS) + " ELSE 0 END"
-    q["fea_6_handcrafted"] = f"""SELECT doc_id, years_experience::DOUBLE AS years_experience, ({degree})::DOUBLE AS degree_code,
+    def ten_numbers(table: str) -> str:
+        return f"""SELECT doc_id, years_experience::DOUBLE AS years_experience, ({degree})::DOUBLE AS degree_code,
       len(skills_tokens)::DOUBLE AS num_skills, len(skills_tokens)::DOUBLE AS skills_len, len(experience_tokens)::DOUBLE AS experience_len,
       len(education_tokens)::DOUBLE AS education_len, length(full_text)::DOUBLE AS text_length, ({senior})::DOUBLE AS seniority,
       org_count::DOUBLE AS org_count, gpe_count::DOUBLE AS gpe_count
-      FROM {SECTION_TABLE} JOIN ({q['txt_25_entity_counts']}) USING (doc_id)"""
+      FROM {table} JOIN ({q['txt_25_entity_counts']}) USING (doc_id)"""
+
+    q["fea_6_handcrafted"] = ten_numbers(SECTION_TABLE)
     numbers = "(" + " + ".join(f"h.{n} ** 2" for n in ("years_experience", "degree_code", "num_skills", "skills_len", "experience_len", "education_len", "text_length", "seniority")) + ")"
     terms = " UNION ALL ".join(f"SELECT doc_id, weight FROM {c}_weights" for c in joined)
     vocab = " + ".join(f"(SELECT count(*) FROM {c}_vocab)" for c in joined)
@@ -241,14 +244,31 @@ def feature_queries() -> dict[str, str]:
       SELECT doc_id, split, ({vocab} + 8)::INTEGER AS section_width, (coalesce(n, 0) + 8)::INTEGER AS section_entries,
         round(sqrt(coalesce(q, 0) + {numbers}), 6) AS section_length FROM s_rows JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
     )
-    emb_rows = "e_rows AS (SELECT flat_rows.*, embedding FROM flat_rows JOIN embeddings ON doc_id % (SELECT count(*) FROM embeddings) = vec_id)"
-    q["fea_11_combined"] = (
-        "WITH " + FLAT_ROWS + ", " + emb_rows + ", " + sql_tfidf("e_rows", "terms", 500)
-        + """, t AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM x_weights GROUP BY doc_id)
-      SELECT doc_id, split, ((SELECT count(*) FROM x_vocab) + 64)::INTEGER AS combined_width, (coalesce(n, 0) + 64)::INTEGER AS combined_entries,
-        round(sqrt(coalesce(q, 0) + list_sum(list_transform(embedding, lambda v: v::DOUBLE ** 2))), 6) AS combined_length
-      FROM e_rows LEFT JOIN t USING (doc_id)"""
+    ten = "[years_experience, degree_code, num_skills, skills_len, experience_len, education_len, text_length, seniority, org_count, gpe_count]"
+    semantic = f"""h AS ({q['fea_6_handcrafted']}),
+      """ + (scaled := f"""raw AS (SELECT doc_id, split, list_concat(list_transform(embedding, lambda v: v::DOUBLE), {ten}) AS v
+        FROM h JOIN ({PROFILE_SPLIT}) USING (doc_id) JOIN embeddings ON doc_id % (SELECT count(*) FROM embeddings) = vec_id),
+      cells AS (SELECT doc_id, split, generate_subscripts(v, 1) AS i, unnest(v) AS v FROM raw),
+      scale AS (SELECT i, avg(v) AS m, stddev_pop(v) AS s FROM cells WHERE split = 'train' GROUP BY i),
+      semantic AS (SELECT doc_id, split, count(*) AS n, sum(((v - m) / CASE WHEN s = 0 THEN 1 ELSE s END) ** 2) AS q FROM cells JOIN scale USING (i) GROUP BY ALL)""")
+    stage_table = f"(SELECT * REPLACE (whole AS full_text) FROM {SECTION_TABLE} JOIN (SELECT doc_id, concat_ws(' ', skills_src, exp_src, edu_src) AS whole FROM {PROFILES}) USING (doc_id))"
+    all_numbers = " + ".join(f"h.{n} ** 2" for n in ten.strip("[]").split(", "))
+    q["pip_2_feature_stage"] = (
+        "WITH " + rows + ", " + ", ".join(sql_tfidf("s_rows", f"{c}_terms", 3000, c) for c in joined)
+        + f""", h AS ({ten_numbers(stage_table)}), {scaled},
+      f_rows AS (SELECT doc_id, split, {sql_terms('full_text')} AS terms FROM {stage_table} JOIN ({PROFILE_SPLIT}) USING (doc_id, category)), {sql_tfidf("f_rows", "terms", 8000)},
+      f AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM x_weights GROUP BY doc_id), t AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM ({terms}) GROUP BY doc_id)
+      SELECT doc_id, split, coalesce(f.n, 0)::INTEGER AS flat_entries, (coalesce(t.n, 0) + 10)::INTEGER AS section_entries, semantic.n::INTEGER AS semantic_entries,
+        round(sqrt(coalesce(f.q, 0)), 6) AS flat_length, round(sqrt(coalesce(t.q, 0) + {all_numbers}), 6) AS section_length, round(sqrt(semantic.q), 6) AS semantic_length
+      FROM semantic JOIN h USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN t USING (doc_id)"""
     )
+    q["fea_10_semantic_features"] = f"""WITH {semantic}
+      SELECT doc_id, split, n::INTEGER AS semantic_width, n::INTEGER AS semantic_entries, round(sqrt(q), 6) AS semantic_length FROM semantic"""
+    q["fea_11_combined"] = f"""WITH {semantic},
+      f_rows AS (SELECT doc_id, split, {sql_terms('full_text')} AS terms FROM {SECTION_TABLE} JOIN ({PROFILE_SPLIT}) USING (doc_id, category)), """ + sql_tfidf("f_rows", "terms", 8000) + """,
+      t AS (SELECT doc_id, count(*) AS n, sum(weight ** 2) AS q FROM x_weights GROUP BY doc_id)
+      SELECT doc_id, split, ((SELECT count(*) FROM x_vocab) + semantic.n)::INTEGER AS combined_width, (coalesce(t.n, 0) + semantic.n)::INTEGER AS combined_entries,
+        round(sqrt(coalesce(t.q, 0) + semantic.q), 6) AS combined_length FROM semantic LEFT JOIN t USING (doc_id)"""
     q["fea_9_embedding_join"] = """SELECT doc_id, len(embedding)::INTEGER AS dims, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total
       FROM documents LEFT JOIN embeddings ON doc_id = vec_id"""
     cells = "(SELECT vec_id, generate_subscripts(embedding, 1)::INTEGER - 1 AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)"
@@ -424,6 +444,14 @@ def build() -> dict[str, str]:
     q["cls_11_best_row"] = f"SELECT * FROM {ORDER_SCORES} ORDER BY macro_f1 DESC, mode, classifier LIMIT 1"
     q.update(feature_queries())
     q.update(cluster_queries())
+    q["src_1_csv_documents"] = "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, lang AS category FROM documents"
+    q["src_1_damaged_csv"] = """SELECT c_custkey, c_name AS name, c_mktsegment AS segment, NULL AS record FROM customer WHERE c_custkey % 10 NOT IN (3, 5, 7)
+      UNION ALL SELECT NULL, NULL, NULL, CASE c_custkey % 10 WHEN 3 THEN c_custkey || ',' || c_name WHEN 5 THEN c_custkey || ',"' || c_name || '",' || c_mktsegment || ',extra'
+        ELSE 'x' || c_custkey END FROM customer WHERE c_custkey % 10 IN (3, 5, 7)"""
+    q["src_4_second_table"] = "SELECT s_suppkey::INTEGER AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
+    q["snk_3_result_files"] = "SELECT c_mktsegment, c_custkey::INTEGER AS c_custkey, count(*) OVER (PARTITION BY c_mktsegment)::INTEGER AS n FROM customer"
+    q["pip_1_report"] = f"SELECT * FROM ({q['txt_9_coverage']}) JOIN ({q['txt_21_token_statistics']}) USING (total)"
+    q["pip_1_report_degrees"] = q["txt_21_degree_histogram"]
     q["src_2_canonical_columns"] = "SELECT page_id AS ID, html AS Resume_html, url FROM pages"
     q["src_3_dense_ids"] = "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_id, c_custkey, c_name FROM customer"
     q["snk_1_src_5_stored_splits"] = DOC_SPLIT

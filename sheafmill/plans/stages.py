@@ -8,10 +8,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.html import section_coverage, with_sections
-from ..functions.text import degree_histogram, token_statistics, with_section_attributes
+from ..functions.entities import with_entity_counts
+from ..functions.fixed_values import DEGREE_CODES
+from ..functions.html import coverage_measures, section_coverage, with_sections
+from ..functions.text import degree_histogram, token_measures, token_statistics, with_section_attributes
 from ..operators import classify, cluster, embed, features, graph, labels, metrics, mining, splits
 from ..session import cut_lineage
 from ..sources import documents, stored
@@ -26,14 +28,35 @@ def run_parsing(spark: SparkSession, source: str, work: str, test_size: float =
     """Documents to section texts, tokens, attributes and a split; stored by split.
 
     The source is read twice: once for ids and classes, from which the split thresholds are found,
-    and once for the texts. The page source is dropped after the walk.
+    and once for the texts. The page source is dropped after the walk. Damaged rows of a CSV file go to ``quarantine``.
     """
-    raw = documents.load_documents(spark, source)
+    return parse_and_report(spark, source, work, test_size, val_size, seed)[0]
+
+
+def parse_and_report(
+    spark: SparkSession, source: str, work: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The parse stage with the report of ``parsing_report``: measured while the table is written, so nothing is read for it."""
+    raw = documents.load_documents(spark, source, f"{work}/quarantine")
     keys = cut_lineage(raw.select(ID, CLASS))
     parted = splits.stratified_split(raw, ID, CLASS, test_size, val_size, seed, keys)
     parsed = with_section_attributes(with_sections(parted, HTML)).drop(HTML)
-    documents.save_splits(parsed, f"{work}/parsed")
-    return documents.load_splits(spark, f"{work}/parsed")
+    levels = [F.count_if(F.col("degree_level") == level).alias(f"degree_{level}") for level in DEGREE_CODES]
+    covered, counted = coverage_measures(), token_measures()
+    seen = Observation("parsing")
+    tokens = [c.alias(f"tokens_{n}") for n, c in enumerate(counted)]
+    documents.save_splits(parsed.observe(seen, *covered, *tokens, *levels), f"{work}/parsed")
+    found = seen.get
+    blank = parsed.limit(0)
+    coverage, statistics = section_coverage(blank).schema, token_statistics(blank).schema
+    degrees = [(level, found[f"degree_{level}"]) for level in DEGREE_CODES if found[f"degree_{level}"]]
+    report = {
+        "classes": splits.class_distribution(keys, CLASS),
+        "coverage": spark.createDataFrame([tuple(found[f.name] for f in coverage)], coverage),
+        "tokens": spark.createDataFrame([tuple(found[f"tokens_{n}"] for n in range(len(counted)))], statistics),
+        "degrees": spark.createDataFrame(degrees, "degree_level string, n long"),
+    }
+    return documents.load_splits(spark, f"{work}/parsed"), report
 
 
 def parsing_report(parsed: DataFrame) -> dict[str, DataFrame]:
@@ -47,29 +70,32 @@ def parsing_report(parsed: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_features(
-    spark: SparkSession, work: str, embeddings: tuple[DataFrame, str, list[str]] | None = None, make_predict_fn: Callable | None = None, **sizes
+    spark: SparkSession, work: str, embeddings: tuple[DataFrame, str, list[str]] | None = None, make_predict_fn: Callable | None = None,
+    gazetteer: DataFrame | None = None, **sizes
 ) -> DataFrame:
     """Feature table of all modes, fitted on the training split.
 
     ``embeddings`` is a table with its id and vector columns, ``make_predict_fn`` an encoder for
     all documents (see ``embed.encode_documents``); without both the semantic and combined modes are left out.
-    A document that the table lacks is an error: none is dropped. Embeddings are joined or computed once and the result is stored, so that the passes of the
+    A document that the table lacks is an error: none is dropped. With a ``gazetteer`` (``phrase``, ``type``) the entity counts are
+    columns nine and ten of the handcrafted numbers. Embeddings are joined or computed once and the result is stored, so that the passes of the
     fit read single columns of it. ``sizes`` are the size parameters of ``fit_features``.
     """
     rows = documents.load_splits(spark, f"{work}/parsed")
     encoder = labels.fit_labels(rows.where(F.col("split") == "train").select(CLASS), CLASS)
     rows = encoder.transform(rows)
+    if gazetteer is not None:
+        rows = with_entity_counts(rows, ID, TEXT, gazetteer)
     names = None
     if embeddings is not None:
         table, table_id, names = embeddings
-        columns = [F.col(c).cast("array<double>").alias(c) for c in names]
-        vectors = table.select(F.col(table_id).alias(ID), *columns).dropDuplicates([ID])
+        vectors = table.groupBy(F.col(table_id).alias(ID)).agg(*(F.min(F.col(c).cast("array<double>")).alias(c) for c in names))
         joined = embed.require_embeddings(rows.join(vectors, ID, "left"), names)
         rows = stored.write_stage(joined, f"{work}/parsed_with_embeddings")
     elif make_predict_fn is not None:
         encoded, names = embed.encode_documents(rows, TEXT, make_predict_fn)
         rows = stored.write_stage(encoded, f"{work}/parsed_with_embeddings")
-    fitted, table = features.fit_features(rows, TEXT, "label", [ID, "label", "split"], names, **sizes)
+    fitted, table = features.fit_features(rows, TEXT, "label", [ID, "label", "split"], names, with_entities=gazetteer is not None, **sizes)
     stored.save_feature_set(spark, fitted, f"{work}/feature_set")
     encoder.write().overwrite().save(f"{work}/label_encoder")
     stored.write_stage(table, f"{work}/features")
@@ -110,7 +136,7 @@ def run_mining(
     out["clustering"] = cut_lineage(table)
     stored.save_results(out["clustering"], f"{work}/results/clustering_comparison")
     for mode, plane in planes.items():
-        stored.save_results(plane, f"{work}/results/plane_{mode}")
+        stored.save_results(plane, f"{work}/results/plane_{mode}", single=False)
     return out
 
 
@@ -157,16 +183,19 @@ def run_predict(spark: SparkSession, work: str) -> DataFrame | None:
 def run(
     stage: str, spark: SparkSession, source: str | None, work: str, sizes: dict | None = None, classifiers: dict | None = None,
     clustering: dict | None = None, mining_options: dict | None = None, embeddings=None, reuse_features: bool = False,
-    reuse_models: bool = False,
+    reuse_models: bool = False, make_predict_fn: Callable | None = None, gazetteer: DataFrame | None = None,
 ):
-    """Run one stage or all of them. Stored features and models are used again only on request."""
+    """Run one stage or all of them. Stored features and models are used again only on request.
+
+    ``embeddings``, ``make_predict_fn`` and ``gazetteer`` as in ``run_features``.
+    """
     if stage not in STAGES:
         raise ValueError(f"unknown stage {stage!r}; one of {', '.join(STAGES)}")
     every, out = stage == "all", None
     if every or stage == "parsing":
         out = run_parsing(spark, source, work)
     if stage == "features" or (every and not (reuse_features and stored.exists(spark, f"{work}/features"))):
-        out = run_features(spark, work, embeddings, **(sizes or {}))
+        out = run_features(spark, work, embeddings, make_predict_fn, gazetteer, **(sizes or {}))
     if every or stage == "mining":
         out = run_mining(spark, work, clustering=clustering, **(mining_options or {}), **(sizes or {}))
     if every or stage == "classification":

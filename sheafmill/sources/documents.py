@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import checked_broadcast
 from ..functions.fixed_values import HEADER_ALIASES
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 SPLITS = ("train", "val", "test")
+DAMAGE = "_damaged_record"
 
 
 def _read(spark: SparkSession, path: str, what: str, infer: bool) -> DataFrame:
@@ -44,19 +45,39 @@ def with_dense_ids(df: DataFrame, out: str = "ID") -> DataFrame:
     return numbered.select((F.col("_start") + F.col("_m") - F.col("_first")).cast("bigint").alias(out), *df.columns)
 
 
-def load_documents(spark: SparkSession, path: str) -> DataFrame:
+def load_documents(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """Labelled documents with ``ID``, ``Resume_str``, ``Resume_html`` and ``Category``.
 
     CSV columns are read as text, without a pass to infer types; ``ID`` becomes a whole number and
-    is made up where it is missing.
+    is made up where it is missing. With a ``quarantine`` folder, damaged rows of a CSV file (see ``damaged``) are left out
+    and written there; made-up numbers count them too.
     """
     raw = _read(spark, path, "Document table", infer=False)
-    named = canonical_columns(raw)
+    named, whole = canonical_columns(raw), None
+    if quarantine is not None and str(path).rstrip("/").endswith((".csv", ".csv.gz")):
+        raw, whole = _with_damage(spark, path, raw), F.col(DAMAGE).isNull()
+        named = canonical_columns(raw)
     if "ID" not in named.columns:
         named = canonical_columns(with_dense_ids(raw))
+    if whole is not None:
+        number = F.col("ID").cast("string").rlike(r"^\s*-?[0-9]+\s*$")
+        broken = named.where(~whole | ~F.coalesce(number, F.lit(False)))
+        broken.select(F.input_file_name().alias("file"), F.coalesce(F.col(DAMAGE), F.col("ID").cast("string")).alias("record")).write.mode("overwrite").parquet(quarantine)
+        named = named.where(whole & number).drop(DAMAGE)
     return named.withColumn("ID", F.col("ID").cast("bigint"))
 
 
+def _with_damage(spark: SparkSession, path: str, plain: DataFrame) -> DataFrame:
+    """The rows of a CSV file with the text of those that have too few or too many values in ``DAMAGE``."""
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in plain.columns), T.StructField(DAMAGE, T.StringType())])
+    return spark.read.options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=DAMAGE, enforceSchema=True).schema(schema).csv(str(path))
+
+
+def damaged(spark: SparkSession, quarantine: str) -> DataFrame:
+    """``(file, record)`` of the rows that did not fit: with too few or too many values, or, where the file has ids, with none that is a number."""
+    return spark.read.parquet(quarantine)
+
+
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     """A second table with its columns as found."""
     return _read(spark, path, "Table", infer=True)

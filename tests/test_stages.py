@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,25 @@ def test_csv_aliases_and_ids(spark, tmp_path):
     assert dict(documents.load_table(spark, str(path)).dtypes)["extra"] == "int"
 
 
+def test_damaged_rows_go_to_quarantine(spark, tmp_path):
+    path = tmp_path / "docs.csv"
+    path.write_text('ID,Resume_str,Resume_html,Category\n1,"a, ""b""\nc",<p>,IT\n2,short\n3,x,y,HR,more\nfour,x,y,HR\n5,fine,,HR\n')
+    good = documents.load_documents(spark, str(path), str(tmp_path / "bad"))
+    assert [tuple(r) for r in good.orderBy("ID").collect()] == [(1, 'a, "b"\nc', "<p>", "IT"), (5, "fine", None, "HR")]
+    bad = documents.damaged(spark, str(tmp_path / "bad")).collect()
+    assert sorted(r.record for r in bad) == ["2,short", "3,x,y,HR,more", "four"] and all(r.file.endswith("docs.csv") for r in bad)
+    assert documents.load_documents(spark, str(path)).count() == 5
+
+
+def test_report_is_measured_while_writing(spark, tmp_path):
+    pages = views.profiles(spark, SF)
+    pages.select(F.col("doc_id").alias("id"), F.col("exp_src").alias("resume_text"), F.col("html").alias("Resume_html"), "category").write.parquet(str(tmp_path / "docs"))
+    parsed, report = stages.parse_and_report(spark, str(tmp_path / "docs"), str(tmp_path / "work"))
+    for name, again in stages.parsing_report(parsed).items():
+        assert report[name].schema.simpleString() == again.schema.simpleString()
+        assert sorted(map(str, report[name].collect())) == sorted(map(str, again.collect())), name
+
+
 def test_dense_ids_over_many_pieces(spark, tmp_path):
     spark.range(1000).select(F.col("id").alias("v")).repartition(7).write.parquet(str(tmp_path / "t"))
     out = documents.with_dense_ids(spark.read.parquet(str(tmp_path / "t")))
@@ -54,6 +74,16 @@ def test_all_stages(spark, tmp_path):
     assert list(widths) == ["flat", "section", "hybrid", "semantic", "combined"]
     assert table.first()["hybrid"].size == widths["hybrid"]
     assert stages.run_predict(spark, work) is None
+
+    def encoder():
+        return lambda texts: np.array([[float(len(t)), 1.0] for t in texts.tolist()])
+
+    firms = views.read_table(spark, SF, "supplier").select(F.col("s_name").alias("phrase"), F.lit("ORG").alias("type"))
+    stages.run("features", spark, None, work, sizes=sizes, make_predict_fn=encoder, gazetteer=firms)
+    found = stages.load_features(spark, work)[1]
+    assert found["semantic"] == 4 * 2 + 10
+    assert stored.load_feature_set(spark, f"{work}/feature_set").semantic.with_entities
+    stages.run("features", spark, None, work, sizes=sizes, embeddings=(vecs, "vec_id", ["embedding"]))
     clustering = dict(n_components=5, k_range=(2, 4), n_init=1, n_clusters=3, eps_range=(1.0,), n_iter=1)
     mined = stages.run("mining", spark, None, work, clustering=clustering, mining_options=dict(min_support=0.1))
     assert mined["clustering"].count() == 8 and mined["rules"].count() > 0 and mined["central"].count() > 0

@@ -12,12 +12,12 @@ def one(spark, value, fn):
 @pytest.mark.parametrize(
     "value, years",
     [
-        ("15+ years of experience", 15),
-        ("over 10 years in software", 10),
-        ("3 years in sales, 7 years of experience in management", 7),
-        ("nearly 4 yrs, 12 yrs exp", 12),
-        ("99999999999999999999 years of experience", 0),
-        ("worked at Google", 0),
+        ("21+ years of experience at sea", 21),
+        ("baked bread for over 14 years in Ghent", 14),
+        ("2 years in a mill, then 9 years of experience on the docks", 9),
+        ("some 6 yrs, all told 11 yrs exp", 11),
+        ("88888888888888888888 years of experience", 0),
+        ("kept the harbour lights", 0),
         ("", 0),
         (None, 0),
     ],
@@ -29,17 +29,17 @@ def test_years(spark, value, years):
 @pytest.mark.parametrize(
     "value, level",
     [
-        ("PhD in Computer Science", "phd"),
-        ("Ph.D", "phd"),
-        ("Master of Science in Data", "masters"),
-        ("MBA from Harvard", "masters"),
-        ("Bachelor of Arts in English", "bachelors"),
-        ("Associate's degree in Nursing", "associates"),
-        ("working as a clerk", "associates"),
-        ("Bachelor of Science, then completed a Master of Science", "masters"),
-        ("certification in welding", "diploma"),
-        ("Central High School", "high_school"),
-        ("studied abroad", "unknown"),
+        ("wrote a PhD on tides", "phd"),
+        ("holds the Ph.D", "phd"),
+        ("Master of Science, oceanography", "masters"),
+        ("evening MBA while at sea", "masters"),
+        ("Bachelor of Arts, Old Norse", "bachelors"),
+        ("Associate's degree, ship repair", "associates"),
+        ("sailed as a cook", "associates"),
+        ("Bachelor of Science first and a Master of Science after it", "masters"),
+        ("holds a certification for cranes", "diploma"),
+        ("Harbour High School", "high_school"),
+        ("learnt on deck", "unknown"),
         ("éas", "unknown"),
         ("", "unknown"),
         (None, "unknown"),
@@ -81,7 +81,7 @@ def test_lemma_table(spark):
 
 @pytest.mark.parametrize(
     "value, expected",
-    [("docker and aws experience", {"docker", "amazon web services"}), ("c++ programming skills", {"cplusplus"}), ("ms sql", {"sql"})],
+    [("moved a dock's rosters to aws with docker", {"docker", "amazon web services"}), ("wrote the crane's control in c++", {"cplusplus"}), ("stock lists in ms sql", {"sql"})],
 )
 def test_synonyms(spark, value, expected):
     assert expected <= set(one(spark, value, text.skill_tokens))
@@ -93,7 +93,7 @@ def test_item_set(spark):
 
 def test_attributes(spark):
     df = spark.createDataFrame(
-        [("Python Java SQL", "10 years of experience at Google", "Master of Science"), (None, None, None)],
+        [("Python Java SQL", "10 years of experience on a tug", "Master of Science"), (None, None, None)],
         "skills_text string, experience_text string, education_text string",
     )
     rows = text.with_section_attributes(df).collect()
@@ -118,6 +118,21 @@ def test_entities(spark):
     assert out == {1: (2, 2), 2: (0, 0), 3: (0, 0)}
 
 
+def test_entities_in_the_row_like_joined_ones(spark):
+    texts = ["Acme Corp, of Paris; acme corp again. New York!", "", None, "in new york city and york and new-york", "PARIS paris", "the old port authority of new york", "straße ÉTÉ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    known = [("Acme Corp", "ORG"), ("PARIS", "GPE"), ("new york", "GPE"), ("york", "ORG"), ("york", "GPE"), ("Old Port Authority of New York", "ORG"), ("été", "GPE"), ("", "GPE"), ("paris", "OTHER"), (None, "ORG")]
+    known = spark.createDataFrame(known, "phrase string, type string")
+    joined = {r.id: (r.org_count, r.gpe_count) for r in entities.entity_counts(docs, "id", "t", known, 6).collect()}
+    for most in (1 << 20, 0):
+        found = entities.with_entity_counts(docs, "id", "t", known, most_bytes=most)
+        assert {r.id: (r.org_count, r.gpe_count) for r in found.collect()} == joined
+        assert found.columns == ["id", "t", "org_count", "gpe_count"]
+    assert joined[5] == (2, 2) and joined[3] == (1, 2)
+    nothing = entities.with_entity_counts(docs, "id", "t", known.where("false")).collect()
+    assert {(r.org_count, r.gpe_count) for r in nothing} == {(0, 0)}
+
+
 def test_handcrafted(spark):
     df = spark.createDataFrame(
         [(5, "bachelors", 2, ["a", "b"], ["c"], None, "Senior clerk"), (None, "what", None, None, None, None, None)],
