@@ -1,14 +1,13 @@
 """Distance work in bounded blocks of rows.
 
 Rows are dealt to blocks by a hash of their id, so block sizes depend on counts alone: a hot group
-becomes many blocks, never a large one. Two blocks meet in one task and only what is asked for
-leaves it (counts, nearest ids, spanning edges) - never all pairs.
+becomes many blocks, never a large one.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 BLOCK_VALUES = 16_000_000
 MAX_BLOCK_ROWS = 2_000
@@ -29,21 +28,6 @@ def block_count(rows: Column, size: int) -> Column:
     return F.ceil(rows / F.lit(size)).cast("int")
 
 
-def meet(df: DataFrame, keys: list[str], resident_block: str, visitor_block: str, resident: Column, visitor: Column,
-         resident_blocks: Column, visitor_blocks: Column) -> DataFrame:
-    """Copies of the rows, keyed so that every resident block meets every visitor block once.
-
-    A resident is sent to all visitor blocks of its keys and a visitor to all resident blocks;
-    ``role`` tells them apart.
-    """
-    all_of = lambda n: F.sequence(F.lit(0), n - 1)
-    left = df.where(resident).withColumn("role", F.lit("r")).withColumn("i", F.col(resident_block))
-    left = left.withColumn("j", F.explode(all_of(visitor_blocks)))
-    right = df.where(visitor).withColumn("role", F.lit("v")).withColumn("j", F.col(visitor_block))
-    right = right.withColumn("i", F.explode(all_of(resident_blocks)))
-    return left.unionByName(right)
-
-
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact for equal rows: differences are formed where the expanded form would cancel."""
     rough = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T

@@ -45,6 +45,18 @@ def test_dbscan(spark, monkeypatch, dims, eps, spread, size):
     assert [got[i] for i in range(len(data))] == brute_dbscan(data, eps).tolist()
 
 
+@pytest.mark.parametrize("eps", [3.0, 4.0, 5.0, 6.0, 8.0])
+def test_dbscan_in_fifty_dimensions(spark, monkeypatch, eps):
+    monkeypatch.setattr(dbscan, "block_rows", lambda width: 40)
+    rng = np.random.default_rng(50)
+    data = np.concatenate([rng.normal(0, 0.6, (60, 50)) + c * 4.0 for c in range(4)] + [rng.normal(0, 4, (20, 50))])
+    told = Observation("met")
+    got = {r.id: r.cluster for r in dbscan.dbscan(points_table(spark, data), "id", "x", eps, observation=told).collect()}
+    assert [got[i] for i in range(len(data))] == brute_dbscan(data, eps).tolist()
+    blocks = len(data) / 40
+    assert told.get["pairs"] < 0.8 * (2 * blocks) ** 2  # cells far from each other do not meet
+
+
 def test_dbscan_empty(spark):
     assert dbscan.dbscan(spark.createDataFrame([], "id int, x array<double>"), "id", "x", 1.0).count() == 0
 
