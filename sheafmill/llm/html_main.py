@@ -28,6 +28,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,12 @@ MOST_OF_TEXT = 0.6
 #: Hosts whose templates are broadcast; those of more are joined.
 BROADCAST_HOSTS = 5_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
+#: What may stand in a tag: a tag that is not closed before the next one begins is text.
+_INNER = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+"
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|iframe|svg)\b" + _INNER + r">.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z]" + _INNER + r">|[^<]+|<",
+    re.DOTALL | re.IGNORECASE,
+)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
@@ -57,20 +63,39 @@ OUTSIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs footer header masthead comment comments disqus reply replies respond share sharing social related recommended recommendations newsletter subscribe subscription popup modal "
     "overlay widget widgets pagination pager login signup search toolbar complementary contentinfo skip".split()
 )
+#: Elements that say nothing of what they hold.
+FRAMES = frozenset("body center div section td".split())
 WHOLE = frozenset("html body main article".split())
 
 
-@dataclass
-class Element:
+@dataclass(slots=True)
+class Tag:
+    """What a tag says by itself."""
+
     name: str
-    key: str
+    closes: bool
+    key: str = ""
+    empty: bool = False  # holds nothing
+    inline: bool = False
+    outside: bool = False  # by its name
+    says: bool = False  # by a word in class, id or role
+    article: bool = False
+
+
+@dataclass(slots=True)
+class Element:
+    tag: Tag
+    parent: Element | None
+    at: int  # elements are numbered in page order
+    path: int
+    token: int
     outside: bool
-    article: bool
+    says: bool
+    block: int  # depth of the nearest element around it, or itself, that is not inline
+    depth: int
+    in_article: bool
     chars: int = 0
-    parent: Element | None = None
-    says: bool = False  # by a word in class, id or role
-    path: int = 0
-    token: int = 0
+    end: int = 0  # the number after those of the elements inside
 
 
 @dataclass
@@ -86,12 +111,47 @@ def _hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass")) >> 1
 
 
+@lru_cache(50_000)
+def _named(path: int, mark: str, key: str) -> int:
+    return _hash(f"{path:x}{mark}{key}")
+
+
+def _tag(token: str) -> Tag | None:
+    found = _NAME.match(token)
+    if not found:
+        return None
+    name = found.group(1).lower()
+    if token[1] == "/":
+        return Tag(name, True)
+    marks = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(token)}
+    says = name not in WHOLE and _outside_words(marks)
+    if name == "article":
+        says = any(w in ("comment", "comments", "reply") for k in ("class", "id", "role") for w in marks.get(k, "").split())
+    article = name in ("article", "main") or marks.get("role") == "main" or "articlebody" in marks.get("itemprop", "")
+    empty = name in VOID or token.endswith("/>") and name not in ("p", "div", "li")
+    return Tag(name, False, ".".join([name, *(f"{k}={v}" for k, v in sorted(marks.items()))]), empty, name in INLINE, name in OUTSIDE, says, article)
+
+
+#: Tags repeat within a host; longer ones are read anew.
+_short_tag = lru_cache(50_000)(_tag)
+SHORT = 300
+#: Elements that the next of their kind closes.
+ENDED = frozenset("p li td th tr dt dd option".split())
+
+
 def parse(text: str | None) -> Page:
-    """The page's tokens. Tags that do not match are repaired: a closing tag closes what is open inside it."""
+    """The page's tokens, in time that grows with the page. Tags that do not match are repaired: a closing tag closes what is open inside it."""
     page = Page()
-    root = Element("", "", False, False)
+    root = Element(Tag("", False), None, 0, 0, 0, False, False, 0, 0, False)
     page.elements.append(root)
     stack, broken = [root], True
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of each name
+
+    def close(depth: int) -> None:
+        for e in reversed(stack[depth:]):
+            open_at[e.tag.name].pop()
+        del stack[depth:]
+
     for m in _TOKEN.finditer(text or ""):
         token = m.group()
         if token[0] != "<" or token == "<":
@@ -104,38 +164,31 @@ def parse(text: str | None) -> Page:
             else:
                 broken = True
             continue
-        name = _NAME.match(token)
-        if not name or m.group(1):
+        tag = None if m.group(1) else _short_tag(token) if len(token) < SHORT else _tag(token)
+        if tag is None:
             continue  # a comment, declaration, script or style
-        name = name.group(1).lower()
-        if token[1] == "/":
-            at = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].name == name), 0)
-            if at:
-                page.tokens.append(_hash(f"{stack[at].path:x}/{stack[at].key}"))
-                broken |= any(e.name not in INLINE for e in stack[at:])
-                del stack[at:]
+        if tag.closes:
+            depths = open_at.get(tag.name)
+            if depths:
+                at = depths[-1]
+                page.tokens.append(_named(stack[at].path, "/", stack[at].tag.key))
+                broken |= any(not e.tag.inline for e in stack[at:])
+                close(at)
             continue
-        marks = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(token)}
-        key = ".".join([name, *(f"{k}={v}" for k, v in sorted(marks.items()))])
-        if name not in INLINE:
-            broken = True
-        if name in VOID or token.endswith("/>") and name not in ("p", "div", "li"):
-            page.tokens.append(_hash(f"{stack[-1].path:x}<{key}"))
+        broken |= not tag.inline
+        if tag.empty:
+            page.tokens.append(_named(stack[-1].path, "<", tag.key))
             continue
-        if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):  # closed by the next of their kind
-            at = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].name not in INLINE), 0)
-            if at and stack[at].name == name:
-                del stack[at:]
+        if tag.name in ENDED and (block := stack[-1].block) and stack[block].tag.name == tag.name:
+            close(block)
         top = stack[-1]
-        marked = name not in WHOLE and _outside_words(marks)
-        if name == "article":
-            marked = any(w in ("comment", "comments", "reply") for k in ("class", "id", "role") for w in marks.get(k, "").split())
-        named = name in OUTSIDE or name == "header" and not any(e.article for e in stack)
-        own = Element(name, key, named, name in ("article", "main") or marks.get("role") == "main" or "articlebody" in marks.get("itemprop", ""), 0, top, marked)
-        own.path = _hash(f"{top.path:x}>{name}")
-        own.token = _hash(f"{own.path:x}<{key}")
+        depth = len(stack)
+        path = _named(top.path, ">", tag.name)
+        outside = tag.outside or tag.name == "header" and not top.in_article
+        own = Element(tag, top, len(page.elements), path, _named(path, "<", tag.key), outside, tag.says, top.block if tag.inline else depth, depth, top.in_article or tag.article)
         page.tokens.append(own.token)
         page.elements.append(own)
+        open_at.setdefault(tag.name, []).append(depth)
         stack.append(own)
     _settle(page)
     return page
@@ -153,53 +206,60 @@ def _outside_words(marks: dict[str, str]) -> bool:
 
 def _settle(page: Page) -> None:
     """What is outside: elements by name or word and all in them. A word does not count where a main element, or the page's only articles, lie inside."""
+    elements = page.elements
+    hidden, saying, named = [False], [-1], [False]  # of what is around an element: outside, the nearest that says so, an article that does
     free, held = False, []
-    for e in page.elements:
-        if e.article and not e.outside and not e.says:
-            around, above = [], e.parent
-            while above is not None and not above.outside:
-                if above.says:
-                    around.append(above)
-                above = above.parent
-            if above is None:
-                free |= not around
-                held.append((e, around))
-    for e, around in held:
-        if around and (e.name != "article" or not free) and not any(h.name == "article" for h in around):
-            for h in around:
-                h.says = False
-    for e in page.elements:
+    for e in elements[1:]:
+        up = e.parent
+        hidden.append(hidden[up.at] or up.outside)
+        saying.append(up.at if up.says else saying[up.at])
+        named.append(named[up.at] or up.says and up.tag.name == "article")
+        if e.tag.article and not e.outside and not e.says and not hidden[e.at]:
+            free |= saying[e.at] < 0
+            held.append(e)
+    for e in held:
+        around = saying[e.at]
+        if around >= 0 and (e.tag.name != "article" or not free) and not named[e.at]:
+            while around >= 0 and elements[around].says:
+                elements[around].says = False
+                around = saying[around]
+    for e in elements:
         e.outside |= e.says or e.parent is not None and e.parent.outside
+        e.end = e.at + 1
+    for e in reversed(elements[1:]):
+        e.parent.end = max(e.parent.end, e.end)
 
 
 def _container(page: Page, places: dict[int, tuple[int, int, int]], template: set[int]) -> list[Element]:
-    """The articles, or else the deepest template element with most of the text that is not template."""
+    """The articles, or else the deepest element of the template, or one that only frames others, with most of the text that is not template."""
     shown = [(at, len(clean), e) for at, clean, e, _ in page.runs if not e.outside]
     slots = [r for r in shown if r[0] not in template] or shown
     for some in (shown, slots):
         for e in page.elements:
             e.chars = 0
         for _, n, e in some:
-            while e is not None:
-                e.chars += n
-                e = e.parent
-        articles = [e for e in page.elements if e.article and not e.outside and e.chars]
+            e.chars += n
+        for e in reversed(page.elements[1:]):
+            e.parent.chars += e.chars
+        articles = [e for e in page.elements if e.tag.article and not e.outside and e.chars]
         if some is shown and articles:
-            return [e for e in articles if e.name == "article"] or articles
+            return [e for e in articles if e.tag.name == "article"] or articles
     root = best = page.elements[0]
     for e in page.elements[1:]:  # opened in page order, so deeper ones come later
-        known = not places or e.token in places
-        if known and not e.outside and e.name not in INLINE and e.name != "p" and e.chars >= MOST_OF_TEXT * root.chars and _within(e, [best]):
+        known = not places or e.token in places or e.tag.name in FRAMES
+        if known and not e.outside and not e.tag.inline and e.tag.name != "p" and e.chars >= MOST_OF_TEXT * root.chars and e.at < best.end:
             best = e
     return [best]
 
 
-def _within(e: Element | None, holders: list[Element]) -> bool:
-    while e is not None:
-        if any(e is h for h in holders):
-            return True
-        e = e.parent
-    return False
+def _inside(page: Page, holders: list[Element]) -> list[bool]:
+    """For each element whether it is in one of the holders or is one."""
+    inside = [False] * len(page.elements)
+    for e in holders:
+        inside[e.at] = True
+    for e in page.elements[1:]:
+        inside[e.at] |= inside[e.parent.at]
+    return inside
 
 
 def _in_order(keys: list[int]) -> list[int]:
@@ -256,8 +316,8 @@ def main_text(text: str | None, places: dict[int, tuple[int, int, int]] | None =
     """Blocks of the article joined by one space; the empty text if there is none."""
     page, places = parse(text), places or {}
     template = template_places(page.tokens, places) if places else set()
-    holders = _container(page, places, template)
-    inside = [r for r in page.runs if not r[2].outside and _within(r[2], holders)]
+    held = _inside(page, _container(page, places, template))
+    inside = [r for r in page.runs if not r[2].outside and held[r[2].at]]
     if all(r[0] in template for r in inside):
         template = set()
     out, gap = [], False

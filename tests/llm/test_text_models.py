@@ -3,6 +3,7 @@
 import html as entities
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -255,3 +256,31 @@ def test_substring_of_all_queries_is_registered():
     names = entry.queries()
     assert [n for n in names if re.match(r"op\d+_", n)] and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names) and substring.WINDOW == 13
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 300_000, "<div>x " * 100_000, '<a b="' * 150_001, "<script " * 100_000, "<div>" * 60_000 + "</x>" * 60_000 + "</div>" * 500, "<b>" * 40_000 + "<p>x</p>" * 40_000,
+     "<article class=comment>x" * 40_000, "<header>x" * 60_000, '<div class="menu">' * 40_000 + "<article>x"],
+)
+def test_time_of_bad_pages_grows_with_their_length(page):
+    def took(text):
+        start = time.process_time()
+        html_main.main_text(text)
+        return time.process_time() - start
+
+    took(page[: len(page) // 8])
+    assert took(page) < 20 * took(page[: len(page) // 8]) + 0.5  # a square would be 64 times
+
+
+def test_articles_of_pages_without_names(spark):
+    """No element, class or id says what it is: the container is where the data is."""
+
+    def bare(page):
+        page = re.sub(r"<(/?)(?:article|nav|header|footer|aside|main|section|form)\b[^>]*>", r"<\1div>", page)
+        return re.sub(r"<(div|p|span|ul|li|a|h1|h2|h3)\b[^>]*>", r"<\1>", page)
+
+    rows = table("pages", "page_id", "url", "html")
+    pages = spark.createDataFrame([(i, u, bare(h)) for i, u, h in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_main.extract(pages, "page_id", "url", "html").collect()}
+    assert sum(got[i] == html_main.main_text(h) for i, _, h in rows) >= 0.9 * len(rows)
