@@ -154,13 +154,23 @@ def encoder_input(text: Column, max_chars: int | None = None) -> Column:
     return filled if max_chars is None else F.substring(filled, 1, max_chars)
 
 
-def with_section_attributes(df: DataFrame) -> DataFrame:
-    """Add the token lists of the three sections, years, degree and the skill count."""
+def with_section_attributes(df: DataFrame, lemmas: DataFrame | None = None, id_col: str = "ID") -> DataFrame:
+    """Add the token lists of the three sections, years, degree and the skill count.
+
+    With a dictionary ``lemmas`` (``form, lemma``) words are looked up there instead of following the noun rules; ``id_col`` must be
+    unique for that.
+    """
+    if lemmas is None:
+        tokens = {s: section_tokens(F.col(f"{s}_text")) for s in ("skills", "experience", "education")}
+    else:
+        for s in ("skills", "experience", "education"):
+            df = lemmatise_with_table(df.withColumn(f"{s}_tokens", word_tokens(F.col(f"{s}_text"))), id_col, f"{s}_tokens", lemmas)
+        tokens = {s: F.col(f"{s}_tokens") for s in ("skills", "experience", "education")}
     return df.withColumns(
         {
-            "skills_tokens": skill_tokens(F.col("skills_text")),
-            "experience_tokens": section_tokens(F.col("experience_text")),
-            "education_tokens": section_tokens(F.col("education_text")),
+            "skills_tokens": normalise_synonyms(tokens["skills"]),
+            "experience_tokens": tokens["experience"],
+            "education_tokens": tokens["education"],
             "years_experience": years_experience(F.col("experience_text")),
             "degree_level": degree_level(F.col("education_text")),
         }

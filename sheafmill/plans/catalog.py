@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.ml.feature import MaxAbsScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import entities, handcrafted, html, text
 from ..operators import (
@@ -531,8 +531,8 @@ def fea_6_handcrafted(spark, d):
 
 @query
 def fea_7_latent_branch(spark, d):
-    model, rows = _flat(spark, d, 2000)
-    svd = latent.fit_svd(_train(rows), "flat", model.width, 32, clamp=True, n_iter=3)
+    model, rows = _flat(spark, d)
+    svd = latent.fit_svd(_train(rows), "flat", model.width, 128, clamp=True)
     points = svd.transform(rows, "flat", "latent", unit_rows=True)
     return points.select(
         "doc_id", F.size("latent").alias("dims"),
@@ -541,12 +541,29 @@ def fea_7_latent_branch(spark, d):
     )
 
 
+@query
+def fea_7_directions(spark, d):
+    """Products of each two of the 50 directions of the vector table: 1 with itself, 0 with another."""
+    rows = views.vecs(spark, d).withColumn("row", vectors.from_array(F.col("embedding"), 64))
+    directions = latent.fit_svd(rows, "row", 64, 50).components
+    products = directions.T @ directions
+    found = [(i, j, float(products[i, j])) for i in range(50) for j in range(50)]
+    return spark.createDataFrame(found, "i int, j int, product double").withColumn("product", F.round(F.col("product") + 0.0, 6) + 0.0)
+
+
+@query
+def fea_7_whole_rank(spark, d):
+    """On as many directions as columns a row keeps its length, and all variance is explained."""
+    rows = views.vecs(spark, d).withColumn("row", vectors.from_array(F.col("embedding"), 64))
+    svd = latent.fit_svd(rows, "row", 64, 64)
+    length = F.sqrt(F.aggregate("points", F.lit(0.0), lambda a, v: a + v * v))
+    return svd.transform(rows, "row", "points").select("vec_id", r6(length, "length"), F.lit(round(svd.explained_variance, 6)).alias("explained_variance"))
+
+
 @query
 def fea_8_hybrid_stack(spark, d):
     rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
-    _, table = features.fit_features(
-        rows, "full_text", "category", ["doc_id", "category", "split"], latent_components=16, svd_iterations=2
-    )
+    _, table = features.fit_features(rows, "full_text", "category", ["doc_id", "category", "split"])
     return _summary(table, "flat", "section", "hybrid")
 
 
@@ -562,9 +579,7 @@ def fea_15_all_modes(spark, d):
     """All five feature sets of all profiles."""
     rows = splits.stratified_split(views.section_table(spark, d), "doc_id", "category")
     rows = _embedded(spark, d, rows)
-    _, table = features.fit_features(
-        rows, "full_text", "category", ["doc_id", "category", "split"], ["emb"], latent_components=8, svd_iterations=1
-    )
+    _, table = features.fit_features(rows, "full_text", "category", ["doc_id", "category", "split"], ["emb"])
     return _summary(table, "flat", "section", "hybrid", "semantic", "combined")
 
 
@@ -617,7 +632,7 @@ def fea_12_chi2_scores(spark, d):
 @query
 def fea_12_chi2_selected(spark, d):
     model, rows = _flat(spark, d)
-    kept = selection.fit_chi2(_train(rows), "flat", "category", model.width, 1000)
+    kept = selection.fit_chi2(_train(rows), "flat", "category", model.width, 4000)
     chosen = rows.withColumn("flat", selection.take_columns(F.col("flat"), kept, model.width))
     named = _named_entries(chosen, ["doc_id"], "flat", [model.terms[i] for i in kept])
     return named.select("doc_id", "term", r6("value", "weight"))
@@ -638,7 +653,7 @@ def fea_14_non_negative(spark, d):
 
 @query
 def fea_16_zero_rows(spark, d):
-    _, rows = _flat(spark, d, 20)
+    _, rows = _flat(spark, d)
     return vectors.zero_rows(_train(rows), "flat")
 
 
@@ -749,7 +764,7 @@ def clu_1_reduced(spark, d):
 
 @query
 def clu_2_kmeans_sweep(spark, d):
-    found = cluster.run_kmeans(views.vecs(spark, d), "vec_id", "embedding", "label", (5, 10), n_init=3)
+    found = cluster.run_kmeans(views.vecs(spark, d), "vec_id", "embedding", "label")
     return rounded(cluster.results_table(spark, found).select("k", "silhouette", "nmi", "ari"))
 
 
@@ -783,30 +798,45 @@ def clu_4_dbscan_customers(spark, d):
     return dbscan.dbscan(rows, "c_custkey", "xy", 0.5)
 
 
+SWEEP = (1.05, 1.1, 1.15, 1.2, 1.25)
+
+
 @query
 def clu_4_dbscan_sweep(spark, d):
-    found = cluster.run_dbscan(views.vecs(spark, d), "vec_id", "embedding", "label", (1.15, 1.25))
+    found = cluster.run_dbscan(views.vecs(spark, d), "vec_id", "embedding", "label", SWEEP)
     return rounded(cluster.results_table(spark, found).select("eps", "n_clusters", "n_noise", "silhouette", "nmi", "ari"))
 
 
+def _segments(spark, d):
+    """Customers at a place per market segment, far from the others, and a little off it by balance."""
+    names = F.array(*map(F.lit, views.SEGMENTS))
+    number = F.array_position(names, F.col("c_mktsegment")).cast("double")
+    place = F.array(number * 100, F.pow(number, F.lit(2)) * 100, F.col("c_acctbal") / 10_000)
+    return views.read_table(spark, d, "customer").select("c_custkey", "c_mktsegment", place.alias("place"))
+
+
 @query
 def clu_5_best_k(spark, d):
-    found = cluster.run_kmeans(views.vecs(spark, d), "vec_id", "embedding", "label", (4, 10), n_init=2)
+    """The number of clusters of five far groups."""
+    found = cluster.run_kmeans(_segments(spark, d), "c_custkey", "place", "c_mktsegment", range(3, 8))
     return spark.createDataFrame([(cluster.best_k(found),)], "k int")
 
 
 @query
 def clu_6_comparison(spark, d):
+    """All sweeps of all methods, at the sizes they have by default."""
     rows = views.vecs(spark, d).withColumn("row", vectors.from_array(F.col("embedding"), 64))
-    table, _ = cluster.run_all_clustering(
-        rows, "vec_id", "label", {"row": 64}, n_components=8, k_range=(5, 10), n_init=2, eps_range=(1.5, 2.5), n_iter=2
-    )
+    table, _ = cluster.run_all_clustering(rows, "vec_id", "label", {"row": 64})
     return rounded(table)
 
 
 @query
 def clu_7_plane(spark, d):
-    return cluster.plane(views.vecs(spark, d), "vec_id", "embedding", "label", 10, n_init=2)
+    """The clusters of five far groups on the plane: each customer's first cluster mate, and whether mates are near there."""
+    plane = cluster.plane(_segments(spark, d), "c_custkey", "place", "c_mktsegment", 5)
+    of_cluster = Window.partitionBy("cluster")
+    near = (F.max("x").over(of_cluster) - F.min("x").over(of_cluster) < 10) & (F.max("y").over(of_cluster) - F.min("y").over(of_cluster) < 10)
+    return plane.select("c_custkey", F.min("c_custkey").over(of_cluster).alias("first_of_cluster"), near.alias("near"))
 
 
 # --- stored tables, models, stages ----------------------------------------------------------
@@ -918,13 +948,24 @@ def cls_9_set_3_feature_sets(spark, d):
     return rounded(results)
 
 
-def _parsed(spark, d):
+def _parsed(spark, d, lemmas=None):
     """The profiles written as a table, the work folder, and what the parse stage made of them."""
     path = _folder(spark)
     pages = views.profiles(spark, d)
-    text = F.concat_ws(" ", "skills_src", "exp_src", "edu_src")
-    stored.write_stage(pages.select(F.col("doc_id").alias("id"), text.alias("Resume_Text"), F.col("html").alias("resume_html"), "category"), f"{path}/source")
-    return path, *stages.parse_and_report(spark, f"{path}/source", path)
+    whole = F.concat_ws(" ", "skills_src", "exp_src", "edu_src")
+    stored.write_stage(pages.select(F.col("doc_id").alias("id"), whole.alias("Resume_Text"), F.col("html").alias("resume_html"), "category"), f"{path}/source")
+    return path, *stages.parse_and_report(spark, f"{path}/source", path, lemmas=lemmas)
+
+
+@query
+def pip_1_parse_with_dictionary(spark, d):
+    """The parse stage with a dictionary: words of an even length are known, by their first three letters."""
+    texts = F.explode(F.array("skills_src", "exp_src", "edu_src"))
+    words = views.profiles(spark, d).select(texts.alias("t")).select(F.explode(text.word_tokens(F.col("t"))).alias("form")).distinct()
+    lemmas = words.where(F.length("form") % 2 == 0).select("form", F.substring("form", 1, 3).alias("lemma"))
+    _, parsed, _ = _parsed(spark, d, lemmas)
+    lists = {s: F.array_join(f"{s}_tokens", "|").alias(f"{s}_words") for s in ("experience", "education")}
+    return parsed.select(F.col("ID").alias("doc_id"), *lists.values())
 
 
 @query

@@ -279,10 +279,10 @@ def feature_queries() -> dict[str, str]:
       scores AS (SELECT term, sum((coalesce(o, 0) - p * total) ** 2 / (p * total)) AS score FROM sums CROSS JOIN shares LEFT JOIN seen USING (term, category) GROUP BY term)"""
     q["fea_12_chi2_scores"] = chi + " SELECT term, round(score, 6) AS score FROM scores"
     q["fea_12_chi2_selected"] = chi + """ SELECT doc_id, term, round(weight, 6) AS weight FROM x_weights
-      WHERE term IN (SELECT term FROM scores ORDER BY round(score, 10) DESC, term DESC LIMIT 1000)"""
+      WHERE term IN (SELECT term FROM scores ORDER BY round(score, 10) DESC, term DESC LIMIT 4000)"""
     q["fea_13_max_abs"] = f"SELECT vec_id, i, round(v / max(abs(v)) OVER (PARTITION BY i), 6) AS value FROM {cells}"
     q["fea_14_non_negative"] = f"SELECT vec_id, i, round(v, 6) AS value FROM {cells} WHERE v > 0"
-    q["fea_16_zero_rows"] = "WITH " + FLAT_ROWS + ", " + sql_tfidf("flat_rows", "terms", 20) + """
+    q["fea_16_zero_rows"] = "WITH " + FLAT_ROWS + ", " + sql_tfidf("flat_rows", "terms", 8000) + """
       SELECT count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM x_weights)) AS zero_rows, count(*) AS total FROM flat_rows WHERE split = 'train'"""
     return q
 
@@ -322,12 +322,28 @@ def cluster_queries() -> dict[str, str]:
       grown AS (SELECT d.vec_id, label, true AS synthetic, list_transform(range(1, 65), lambda i: x[i] + u * (y[i] - x[i])) AS v FROM drawn d JOIN near USING (vec_id, rank)
         UNION ALL SELECT vec_id, label, false, x FROM e)
       SELECT vec_id, label, synthetic, unnest(range(64))::INT AS i, round(unnest(v), 6) AS value FROM grown"""
-    q["eva_4_silhouette"] = f"""
-      WITH s AS (SELECT * FROM {vec}),
+    def sql_silhouette(rows: str) -> str:
+        return f"""
+      WITH s AS (SELECT * FROM {rows}),
       p AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS total, count(*) AS n FROM s a, s b GROUP BY ALL),
       i AS (SELECT id, total / (n - 1) AS inside FROM p WHERE own = other AND n > 1),
       o AS (SELECT id, min(total / n) AS outside FROM p WHERE own <> other GROUP BY id)
       SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 6) AS silhouette, 0.0::DOUBLE AS error FROM o LEFT JOIN i USING (id)"""
+
+    q["eva_4_silhouette"] = sql_silhouette(vec)
+    sweeps = []
+    for eps in (1.05, 1.1, 1.15, 1.2, 1.25):
+        found = f"(SELECT vec_id AS id, c.cluster, x, v.label AS truth FROM ({sql_dbscan(vec, eps, 5, 'vec_id')}) c JOIN {vec} v ON v.id = c.vec_id)"
+        inner = f"(SELECT id, x, cluster AS label FROM {found} WHERE cluster >= 0)"
+        sweeps.append(f"""SELECT {eps}::DOUBLE AS eps, n_clusters, n_noise, CASE WHEN n_clusters < 2 THEN -1 ELSE silhouette END AS silhouette,
+          CASE WHEN n_clusters < 2 THEN 0 ELSE nmi END AS nmi, ari
+          FROM (SELECT count(DISTINCT cluster) FILTER (cluster >= 0) AS n_clusters, count(*) FILTER (cluster < 0) AS n_noise FROM {found}),
+            (SELECT nmi, ari FROM ({sql_agreement(found, 'truth', 'cluster')})), ({sql_silhouette(inner)})""")
+    q["clu_4_dbscan_sweep"] = " UNION ALL ".join(f"({s})" for s in sweeps)
+    q["clu_5_best_k"] = "SELECT count(DISTINCT c_mktsegment)::INTEGER AS k FROM customer"
+    q["clu_7_plane"] = "SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_mktsegment) AS first_of_cluster, true AS near FROM customer"
+    q["fea_7_directions"] = "SELECT i::INTEGER AS i, j::INTEGER AS j, (i = j)::INTEGER::DOUBLE AS product FROM range(50) a(i), range(50) b(j)"
+    q["fea_7_whole_rank"] = "SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE ** 2))), 6) AS length, 1.0::DOUBLE AS explained_variance FROM embeddings"
     q["clu_3_ward_known_groups"] = "SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey) AS first_of_cluster FROM customer"
     q["clu_4_dbscan"] = sql_dbscan(vec, 1.2, 5, "vec_id")
     q["clu_4_dbscan_customers"] = sql_dbscan(
@@ -450,6 +466,8 @@ def build() -> dict[str, str]:
         ELSE 'x' || c_custkey END FROM customer WHERE c_custkey % 10 IN (3, 5, 7)"""
     q["src_4_second_table"] = "SELECT s_suppkey::INTEGER AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
     q["snk_3_result_files"] = "SELECT c_mktsegment, c_custkey::INTEGER AS c_custkey, count(*) OVER (PARTITION BY c_mktsegment)::INTEGER AS n FROM customer"
+    known = lambda t: f"array_to_string(list_transform({sql_words(t)}, lambda x: CASE WHEN length(x) % 2 = 0 THEN left(x, 3) ELSE x END), '|')"
+    q["pip_1_parse_with_dictionary"] = f"SELECT doc_id, {known(EXPERIENCE_TEXT)} AS experience_words, {known(EDUCATION_TEXT)} AS education_words FROM {PROFILES}"
     q["pip_1_report"] = f"SELECT * FROM ({q['txt_9_coverage']}) JOIN ({q['txt_21_token_statistics']}) USING (total)"
     q["pip_1_report_degrees"] = q["txt_21_degree_histogram"]
     q["src_2_canonical_columns"] = "SELECT page_id AS ID, html AS Resume_html, url FROM pages"

@@ -24,23 +24,26 @@ STAGES = ("parsing", "features", "mining", "classification", "predict", "all")
 ID, TEXT, HTML, CLASS = "ID", "Resume_str", "Resume_html", "Category"
 
 
-def run_parsing(spark: SparkSession, source: str, work: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42) -> DataFrame:
+def run_parsing(
+    spark: SparkSession, source: str, work: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42, lemmas: DataFrame | None = None
+) -> DataFrame:
     """Documents to section texts, tokens, attributes and a split; stored by split.
 
     The source is read twice: once for ids and classes, from which the split thresholds are found,
     and once for the texts. The page source is dropped after the walk. Damaged rows of a CSV file go to ``quarantine``.
+    ``lemmas`` is a dictionary to look words up in (see ``with_section_attributes``).
     """
-    return parse_and_report(spark, source, work, test_size, val_size, seed)[0]
+    return parse_and_report(spark, source, work, test_size, val_size, seed, lemmas)[0]
 
 
 def parse_and_report(
-    spark: SparkSession, source: str, work: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42
+    spark: SparkSession, source: str, work: str, test_size: float = 0.15, val_size: float = 0.15, seed: int = 42, lemmas: DataFrame | None = None
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The parse stage with the report of ``parsing_report``: measured while the table is written, so nothing is read for it."""
     raw = documents.load_documents(spark, source, f"{work}/quarantine")
     keys = cut_lineage(raw.select(ID, CLASS))
     parted = splits.stratified_split(raw, ID, CLASS, test_size, val_size, seed, keys)
-    parsed = with_section_attributes(with_sections(parted, HTML)).drop(HTML)
+    parsed = with_section_attributes(with_sections(parted, HTML).drop(HTML), lemmas, ID)
     levels = [F.count_if(F.col("degree_level") == level).alias(f"degree_{level}") for level in DEGREE_CODES]
     covered, counted = coverage_measures(), token_measures()
     seen = Observation("parsing")
@@ -183,17 +186,17 @@ def run_predict(spark: SparkSession, work: str) -> DataFrame | None:
 def run(
     stage: str, spark: SparkSession, source: str | None, work: str, sizes: dict | None = None, classifiers: dict | None = None,
     clustering: dict | None = None, mining_options: dict | None = None, embeddings=None, reuse_features: bool = False,
-    reuse_models: bool = False, make_predict_fn: Callable | None = None, gazetteer: DataFrame | None = None,
+    reuse_models: bool = False, make_predict_fn: Callable | None = None, gazetteer: DataFrame | None = None, lemmas: DataFrame | None = None,
 ):
     """Run one stage or all of them. Stored features and models are used again only on request.
 
-    ``embeddings``, ``make_predict_fn`` and ``gazetteer`` as in ``run_features``.
+    ``embeddings``, ``make_predict_fn`` and ``gazetteer`` as in ``run_features``, ``lemmas`` as in ``run_parsing``.
     """
     if stage not in STAGES:
         raise ValueError(f"unknown stage {stage!r}; one of {', '.join(STAGES)}")
     every, out = stage == "all", None
     if every or stage == "parsing":
-        out = run_parsing(spark, source, work)
+        out = run_parsing(spark, source, work, lemmas=lemmas)
     if stage == "features" or (every and not (reuse_features and stored.exists(spark, f"{work}/features"))):
         out = run_features(spark, work, embeddings, make_predict_fn, gazetteer, **(sizes or {}))
     if every or stage == "mining":

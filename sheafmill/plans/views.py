@@ -128,6 +128,7 @@ def ranked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", label.alias("label"), split.alias("split"), from_array(numbers, 4).alias("flat"))
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 LINE_CLASSES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
 
