@@ -693,7 +693,7 @@ def _lang_task(spark, d, terms=300):
 
 
 def _fit_one(spark, d, name):
-    task = _lang_task(spark, d)
+    task = _lang_task(spark, d, 8000)
     return classify.train_and_evaluate(task, classify.get_classifiers()[name], {}, task.part("train"), task.part("test"))[1]
 
 
