@@ -22,6 +22,7 @@ from __future__ import annotations
 import struct
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -150,6 +151,14 @@ def super_kmers(words: _Words, window: int, gram: int, hot: np.ndarray) -> tuple
     return first, last, least[first]
 
 
+@lru_cache(2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64."""
+    odd = _B | np.uint64(1)
+    up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x)])) for x in (odd, np.uint64(pow(int(odd), -1, 1 << 64))))
+    return up, down
+
+
 def repeated_in(ids: np.ndarray, words: np.ndarray, window: int, counts: np.ndarray) -> np.ndarray:
     """For each window of the strings (word numbers, ``counts`` words each): does it start in a smaller document too?
 
@@ -160,9 +169,7 @@ def repeated_in(ids: np.ndarray, words: np.ndarray, window: int, counts: np.ndar
     string = np.repeat(np.arange(len(counts)), counts)
     ends = np.cumsum(counts)
     begins = np.arange(n) <= (ends - window)[string]
-    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _B | np.uint64(1))]))
-    inverse = np.uint64(pow(int(_B | np.uint64(1)), -1, 1 << 64))
-    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, inverse)]))
+    power, back = _powers(1 << max(16, n.bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(words.astype(np.uint64) + _A) * power[:n])])
     at = np.flatnonzero(begins)
     out = np.zeros(n, bool)
@@ -173,7 +180,7 @@ def repeated_in(ids: np.ndarray, words: np.ndarray, window: int, counts: np.ndar
     for turn in range(passes):
         own = at if passes == 1 else at[hashes % np.uint64(passes) == turn]
         key = hashes if passes == 1 else hashes[hashes % np.uint64(passes) == turn]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # the order among equal hashes does not matter
         own, key = own[order], key[order]
         same = key[1:] == key[:-1]
         close = np.flatnonzero(same)
