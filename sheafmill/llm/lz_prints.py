@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -27,6 +28,8 @@ from .common import spread, text_slices
 SIZE = 128
 SPAN = 1 << 20
 RANGE_BYTES = 8 << 20
+#: Ranges at most, which is what the driver holds; with more text ranges get larger. A range is read as a stream, whatever its size.
+MOST_RANGES = 20_000
 LETTER_BITS = 21
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -155,8 +158,7 @@ def _splits(rows: DataFrame, ranges: int) -> list[tuple[bool, int, int]]:
     shares = [n / ranges for n in range(1, ranges)]
     ids = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 5 * ranges)).alias("q")).first()["q"] if shares else None
     found = []
-    for doc_id in sorted(set(ids or [])):
-        often = ids.count(doc_id)
+    for doc_id, often in sorted(Counter(ids or []).items()):
         found += [_key(doc_id, -(1 << 63) + (n << 64) // often) for n in range(often)]
     return found
 
@@ -173,7 +175,7 @@ def edited_pairs(df: DataFrame, id_col: str, text_col: str, size: int = SIZE, ra
     rows = spread(rows).withColumn("tie", F.xxhash64("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     spark = df.sparkSession
-    splits = _splits(rows, max(spark.sparkContext.defaultParallelism, total // range_bytes + 1))
+    splits = _splits(rows, min(MOST_RANGES, max(spark.sparkContext.defaultParallelism, total // range_bytes + 1)))
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:

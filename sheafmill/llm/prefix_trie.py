@@ -181,7 +181,7 @@ def sketch(prefixes: DataFrame, bits: int) -> np.ndarray:
     tasks = max(1, min(int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions")), ROWS << (bits - block)))
     blocks = sent.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(add, "block int, bitmap binary")
     out = np.zeros((ROWS << bits) // 8, np.uint8)
-    for r in blocks.toLocalIterator():
+    for r in blocks.collect():  # no more than the bits themselves
         start = (r["block"] << block) // 8
         bitmap = np.frombuffer(zlib.decompress(r["bitmap"]), np.uint8)
         out[start : start + len(bitmap)] = bitmap
