@@ -68,7 +68,7 @@ def with_entity_counts(df: DataFrame, id_col: str, text_col: str, gazetteer: Dat
         counts = entity_counts(df, id_col, text_col, gazetteer, size[1], max_chars)
         return df.join(counts, id_col)
     types: dict[str, int] = {}
-    for r in known.toLocalIterator():
+    for r in known.collect():  # ``most_bytes`` at most
         types[r["phrase"]] = types.get(r["phrase"], 0) | 1 << ENTITY_TYPES.index(r["type"])
     shared = df.sparkSession.sparkContext.broadcast(types)
 
