@@ -207,6 +207,40 @@ def test_held_out_rows_stop_the_rounds(spark):
     assert len(rounds) < 60
 
 
+@pytest.mark.parametrize("entries", [10**6, 0])
+def test_equal_rows_are_boosted_as_one(spark, entries):
+    x, label = sample(150, 11)
+    many, classes = np.tile(x, (40, 1)), np.tile(label, 40)
+    held = boosting._counted
+    sizes = []
+    seen = lambda b: sizes.append(sum(len(r["labels"]) // 4 for r in (c := held(b)).collect())) or c
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(boosting, "_counted", seen)
+        for parts in (2, 5):
+            made.append(boosting.fit(packed(table(spark, many, classes, parts)), 6, boosting.Settings(4, rounds=3, depth=3), local_entries=entries)[1])
+    assert max(sizes) <= 2 * len(np.unique(np.column_stack([x, label]), axis=0))  # held out or not
+    for a, b in zip((t for r in made[0] for t in r), (t for r in made[1] for t in r)):
+        assert a.feature.tolist() == b.feature.tolist() and a.threshold.tolist() == b.threshold.tolist() and a.value.tolist() == b.value.tolist()
+
+
+def test_sums_beside_a_part_are_those_of_the_rest(spark):
+    rng = np.random.default_rng(12)
+    cells, place = rng.integers(0, 300, 400), np.sort(rng.integers(0, 60, 400))
+    stats = [np.rint(rng.normal(size=60) * 2**20) / 2**20 for _ in range(2)] + [np.ones(60)]
+    part = rng.random(60) < 0.3
+    whole, some, rest = (boosting.Sums.of(cells[k[place]], place[k[place]], [s * k for s in stats], 300) for k in (part | True, part, ~part))
+    left = whole.without(some)
+    assert left.present.tolist() == rest.present.tolist() and left.hist.tolist() == rest.hist.tolist() and left.totals.tolist() == rest.totals.tolist()
+
+
+def test_unlike_rows_of_one_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(rowblocks, "row_hashes", lambda block: np.zeros(len(block["labels"]), np.uint64))
+    block = {"lengths": np.array([2, 1, 2, 2, 0]), "indices": np.array([3, 4, 3, 3, 5, 3, 4]), "keys": np.ones(5, np.int64), "labels": np.zeros(5, np.int32), "weights": np.ones(5)}
+    found = rowblocks.equal_rows(block)
+    assert found["lengths"].tolist() == [2, 1, 2, 0] and found["indices"].tolist() == [3, 4, 3, 3, 5] and found["weights"].tolist() == [2, 1, 1, 1]
+
+
 # --- linear machines -------------------------------------------------------------------------
 
 
