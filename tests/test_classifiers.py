@@ -211,10 +211,13 @@ def test_held_out_rows_stop_the_rounds(spark):
 def test_equal_rows_are_boosted_as_one(spark, entries):
     x, label = sample(150, 11)
     many, classes = np.tile(x, (40, 1)), np.tile(label, 40)
-    held = boosting._counted
-    sizes = []
-    seen = lambda b: sizes.append(sum(len(r["labels"]) // 4 for r in (c := held(b)).collect())) or c
-    made = []
+    counted, sizes, made = boosting._counted, [], []
+
+    def seen(binned):
+        found = counted(binned)
+        sizes.append(sum(len(r["labels"]) // 4 for r in found.collect()))
+        return found
+
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(boosting, "_counted", seen)
         for parts in (2, 5):
