@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Observation, functions as F
 
-from sheafmill.operators import classify, cluster, components, dbscan, metrics, microclusters, neighbours, ordering, resample, silhouette, vectors
+from sheafmill.operators import blocks, classify, cluster, components, dbscan, metrics, microclusters, neighbours, ordering, resample, silhouette, vectors
 from sheafmill.sources import stored
 
 
@@ -87,6 +87,28 @@ def brute_silhouette(data, lab):
     return np.mean(scores)
 
 
+def test_distances_of_narrow_rows_are_those_of_their_differences():
+    rng = np.random.default_rng(4)
+    a, b = (rng.random((30, 3)) + [1e3, 1e6, 0] for _ in range(2))
+    assert (blocks.squared_distances(a, b) == ((a[:, None] - b[None]) ** 2).cumsum(2)[:, :, -1]).all()
+
+
+def test_silhouette_of_a_single_piece_is_spread(spark):
+    rows = spark.createDataFrame([(i, [float(i), i % 3 * 9.0], i % 3) for i in range(60)], "id int, x array<double>, label int").coalesce(1)
+    found = silhouette.silhouette(rows, "id", "x", "label")
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+    assert abs(found.first().silhouette - silhouette.silhouette(rows.repartition(5), "id", "x", "label").first().silhouette) < 1e-12
+
+
+def test_all_starts_of_a_sweep_give_what_each_gives(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=3) + i % 4 * 6).tolist(), i % 4) for i in range(80)]
+    points = cluster._points(spark.createDataFrame(rows, "id int, x array<double>, label int"), "id", "x", "label").persist()
+    found = cluster.fit_kmeans_all(points, [2, 4], n_init=3)
+    assert [m.summary.k for m in found] == [2, 4]
+    assert [m.summary.trainingCost for m in found] == [cluster.fit_kmeans(points, k, 3).summary.trainingCost for k in (2, 4)]
+
+
 def test_silhouette(spark):
     rng = np.random.default_rng(3)
     data = rng.normal(size=(60, 3)) + 1000  # far from the origin, where expanded squares would cancel
