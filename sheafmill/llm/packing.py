@@ -30,9 +30,10 @@ SEARCH_NODES = 20_000
 #: Parts of the waste left to a bin that are accepted, one plan each.
 EASE = (0.0, 0.5, 1.0, 2.0, 4.0, 8.0)
 BUCKET_ROWS = 20_000
-#: Sequences over which whole bins are searched, and fillings of a bin that are looked at there. Both bound effort: the best plan so far stands.
-SEARCH_BINS = 5_000
+#: Fillings of a bin that are looked at where whole bins are searched. It bounds effort at every size alike: the best plan so far stands.
 BIN_FILLINGS = 200
+#: Bins of one filling that are taken back one by one; of more, half are taken back at a time.
+FEW_BINS = 4
 
 
 def pieces(df: DataFrame, id_col: str, text_col: str, path: str, capacity: int = CAPACITY, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
@@ -170,47 +171,57 @@ def _dominated(lengths: _Lengths, used: dict[int, int], waste: int) -> bool:
     return spare(1, waste) or any(spare(s + 1, s + waste) for s in sizes) or any(spare(p, p + waste) for p in pairs)
 
 
-def improved(counts: dict[int, int], capacity: int, sequences: int, nodes: int) -> list[dict[int, int]] | None:
-    """Fillings of ``sequences`` bins that use every piece once, or None where the search finds none within ``nodes`` steps.
+def improved(counts: dict[int, int], capacity: int, sequences: int, nodes: int) -> list[tuple[dict[int, int], int]] | None:
+    """Fillings of ``sequences`` bins, with the bins of each, that use every piece once, or None where the search finds none within ``nodes`` steps.
 
-    Bins are filled one after the other around the largest piece left; a filling that leads nowhere is taken back and the
-    next one is tried. All bins together may waste no more than the sequences leave.
+    Bins are filled one after the other around the largest piece left, each filling in as many bins as pieces and waste allow. One that
+    leads nowhere is taken back, a bin or half of its bins at a time, and the next one is tried. All bins together may waste no more than the sequences leave.
+    Steps are taken by fillings, not by bins, so that repeating all pieces does not lengthen the search.
     """
     lengths, steps = _Lengths(counts, capacity), [nodes]
     waste = sequences * capacity - sum(s * n for s, n in counts.items())
-    stack: list[tuple[Iterator[dict[int, int]], dict[int, int]]] = []
+    stack: list[tuple[Iterator[dict[int, int]], dict[int, int], int]] = []
 
     def change(filling: dict[int, int], by: int) -> int:
         for s, k in filling.items():
             lengths.count[s] += by * k
-        return capacity - sum(s * k for s, k in filling.items())
+        return by * (capacity - sum(s * k for s, k in filling.items()))
 
-    def bin_of_largest() -> Iterator[dict[int, int]]:
+    def bin_of_largest(but: dict[int, int]) -> Iterator[dict[int, int]]:
         size = max((s for s, n in enumerate(lengths.count) if n), default=0)
         lengths.count[size] -= 1
         found = list(islice(fillings(lengths.copy(), capacity - size, waste, steps), BIN_FILLINGS))
         lengths.count[size] += 1
         found.sort(key=lambda f: -sum(s * k for s, k in f.items()))
         for f in found:
-            yield {**f, size: f.get(size, 0) + 1}
+            if (whole := {**f, size: f.get(size, 0) + 1}) != but:
+                yield whole
 
-    stack.append((bin_of_largest(), {}))
+    stack.append((bin_of_largest({}), {}, 0))
     while stack and steps[0] > 0:
-        turn, taken = stack[-1]
-        if taken:
-            waste += change(taken, 1)
-        filling = next(turn, None)
+        turn, taken, bins = stack[-1]
         steps[0] -= 1
+        fewer = bins - 1 if bins <= FEW_BINS else bins // 2
+        if bins:
+            waste += change(taken, bins - fewer)
+            sequences += bins - fewer
+            stack[-1] = (turn, taken, fewer)
+        if bins > 1:  # with fewer bins of it, others come next
+            stack.append((bin_of_largest(taken), {}, 0))
+            continue
+        filling = next(turn, None)
         if filling is None:
             stack.pop()
             continue
-        waste -= change(filling, -1)
-        stack[-1] = (turn, filling)
+        own = capacity - sum(s * k for s, k in filling.items())
+        bins = min(sequences, *(lengths.count[s] // k for s, k in filling.items()), *([waste // own] if own else []))
+        waste += change(filling, -bins)
+        sequences -= bins
+        stack[-1] = (turn, filling, bins)
         if not any(lengths.count):
-            return [f for _, f in stack]
-        if len(stack) == sequences:
-            continue
-        stack.append((bin_of_largest(), {}))
+            return [(f, n) for _, f, n in stack if n]
+        if sequences:
+            stack.append((bin_of_largest({}), {}, 0))
     return None
 
 
@@ -233,7 +244,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_N
     Bins are completed several times, with more or less of the waste that the lower bound leaves to a
     bin taken as good enough, and the fewest sequences win. Exact fillings use up small pieces early;
     where waste can be afforded, they are better kept for the last bins. Where the lower bound is not
-    reached, a search over the fillings of all bins tries to do with one sequence less, again and again.
+    reached, a search over the fillings of all bins tries to do with fewer, at any number of sequences.
     """
     least, best, fewest = least_sequences(counts, capacity), [], None
     for ease in EASE:
@@ -242,11 +253,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_N
             best, fewest = made, sum(t for _, t in made)
         if fewest <= least:
             break
-    while fewest > least and fewest <= SEARCH_BINS:
-        made = improved(counts, capacity, fewest - 1, 10 * nodes)
+    least = min(least, fewest)
+    while fewest > least:  # by halves, so that the tries do not grow with the sequences
+        middle = (least + fewest) // 2
+        made = improved(counts, capacity, middle, 10 * nodes)
         if made is None:
-            break
-        best, fewest = [(f, 1) for f in made], fewest - 1
+            least = middle + 1
+        else:
+            best, fewest = made, middle
     return best
 
 

@@ -216,3 +216,16 @@ def test_search_goes_back_over_bins():
     lengths = packing._Lengths({9: 1, 6: 1, 4: 2, 3: 1}, 20)
     found = list(packing.fillings(lengths, 10, 10, [10**5]))
     assert {9: 1} in found and {6: 1, 4: 1} in found and {3: 1, 6: 1} not in found  # 3 and 6 give way to 4 and 6
+
+
+@pytest.mark.parametrize("counts, capacity", [({10: 4, 9: 4, 6: 2}, 24), ({5: 1, 14: 4, 6: 4}, 29), ({4: 2, 19: 3, 10: 2, 9: 4}, 22)])
+def test_bins_are_searched_at_any_number(counts, capacity):
+    many = {s: n * 3000 for s, n in counts.items()}
+    made = packing.plan(many, capacity)
+    used = Counter()
+    for filling, times in made:
+        assert sum(s * k for s, k in filling.items()) <= capacity and times > 0
+        used.update({s: k * times for s, k in filling.items()})
+    least = packing.least_sequences(many, capacity)
+    one_by_one = min(sum(t for _, t in packing._complete_all(many, capacity, packing.SEARCH_NODES, least, ease)) for ease in packing.EASE)
+    assert used == many and least <= sum(t for _, t in made) < one_by_one
