@@ -1,4 +1,6 @@
 import math
+import threading
+import types
 
 import numpy as np
 import pytest
@@ -310,6 +312,21 @@ def test_roster():
         classify.get_classifiers("tpu")
 
 
+def test_grid_points_are_fitted_side_by_side(spark, monkeypatch):
+    together, order = threading.Barrier(2, timeout=30), []
+
+    class Grid(classify.Classifier):
+        def estimator(self, params):
+            return types.SimpleNamespace(fit=lambda rows: order.append(params["n"]) if params["n"] == 0 else together.wait())
+
+    scores = types.SimpleNamespace(asDict=lambda: {"macro_f1": 0.5, "balanced_accuracy": 0.5, "accuracy": 0.5})
+    monkeypatch.setattr(classify, "predict", lambda *a: None)
+    monkeypatch.setattr(classify.metrics, "classification_metrics", lambda *a: types.SimpleNamespace(first=lambda: scores))
+    rows = spark.createDataFrame([(1, 0.0, "train", 1.0)], "doc_id int, label double, split string, flat double")
+    found = classify.select_params(classify.Task(rows, "flat", 1), Grid("x", None, {}, [{"n": n} for n in range(3)], False, False))
+    assert found[0] == {"n": 0} and order == [0]
+
+
 def test_best_of_keeps_the_first_tie():
     low, high = {"macro_f1": 0.5, "balanced_accuracy": 0.9, "accuracy": 0.9}, {"macro_f1": 0.6, "balanced_accuracy": 0.1, "accuracy": 0.1}
     assert classify.best_of([({"a": 1}, low), ({"a": 2}, high), ({"a": 3}, dict(high))])[0] == {"a": 2}
