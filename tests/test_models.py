@@ -3,6 +3,7 @@ import threading
 import types
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Observation, functions as F
 
@@ -254,6 +255,17 @@ def test_rows_in_clumps_visit_few_cells(spark, monkeypatch):
     assert told.get["visits"] < 8 * 3000  # all blocks would be 30 or more a row
 
 
+def test_rows_that_visit_many_blocks_are_sent_in_frames_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(neighbours, "MOVED_VALUES", 1000)
+    rows = pd.DataFrame({"id": [7, 8], "indices": [np.arange(99)] * 2, "values": [np.ones(99)] * 2})
+    row, block = np.repeat([0, 1], 500), np.tile(np.arange(500), 2)
+    frames = list(neighbours._sent(rows, row, block % 3, block))
+    assert max(len(f) for f in frames) <= 11
+    sent = pd.concat(frames)
+    assert sent["id"].tolist() == [7] * 500 + [8] * 500
+    assert (sent["block"].to_numpy() == block).all() and (sent["cell"].to_numpy() == block % 3).all()
+
+
 def test_smote(spark):
     rng = np.random.default_rng(7)
     lab = np.array([0] * 40 + [1] * 13 + [2] * 9)
