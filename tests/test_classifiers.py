@@ -109,6 +109,34 @@ def test_forest_is_the_same_in_one_task_and_in_many(spark):
     assert sorted(len(t[0]) for t in whole) == sorted(len(t[0]) for t in parted)
 
 
+def test_rows_over_the_broadcast_bound_are_sent_to_tasks_that_grow_whole_trees(spark, monkeypatch):
+    x, label = sample()
+    df = packed(table(spark, x, label, weight=1 + label * 0.5)).repartition(3)
+
+    def grown(n):
+        found = forest.trees(forest.fit(df, 6, forest.Settings(4, 12, small_rows=n)).orderBy("n", "piece").collect(), 4)
+        return [tuple(a.tobytes() for a in (t.feature, t.threshold, t.left, t.right, t.value)) for t in found]
+
+    whole = grown(10_000)
+    monkeypatch.setattr(forest, "_tops", None)  # no pass over the rows for each level of the trees
+    assert grown(100) == whole
+
+
+def test_cells_of_some_features_are_the_same_by_row_and_by_cell():
+    rng = np.random.default_rng(3)
+    bins = rowblocks.Bins.of([np.arange(f % 4 + 1) + 0.5 for f in range(9)])
+    lengths = rng.integers(0, 9, 60).astype(np.int32)
+    features = np.concatenate([np.sort(rng.choice(9, n, replace=False)) for n in lengths])
+    block = {"lengths": lengths, "indices": (bins.cells[features] + rng.integers(0, 2, len(features))).astype(np.int32)}
+    block |= {"labels": np.zeros(60, np.int32), "weights": np.ones(60), "keys": np.arange(60)}
+    rows = rowblocks.Rows(block, bins)
+    for own, some in ((np.arange(60), [2, 5]), (np.arange(0, 60, 30), [2, 5, 8]), (np.arange(60), range(9))):
+        cells, place = rows.entries(own)
+        kept = np.isin(np.searchsorted(bins.cells, cells, side="right") - 1, list(some))
+        got = rows.filled(own, np.array(some))
+        assert sorted(zip(*got)) == sorted(zip(cells[kept], place[kept]))
+
+
 def test_forest_leaves_are_pure_without_a_limit_of_depth(spark):
     x, label = sample(300)
     rng = np.random.default_rng(4)
