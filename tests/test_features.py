@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sheafmill.functions.fixed_values import ENGLISH_STOP_WORDS
 from sheafmill.operators import embed, features, labels, latent, scaling, selection, splits, tfidf, vectors
+from sheafmill.plans import catalog
 
 TEXTS = [
     "Welder on ships for nine winters, aluminium hulls and steel hulls, night shifts",
@@ -209,3 +210,25 @@ def test_labels(spark):
         model.transform(rows.withColumn("cls", F.lit("new"))).collect()
     weights = {r.cls: r.weight for r in labels.with_balanced_weights(rows.where("doc_id < 9"), "cls").collect()}
     assert weights == {"HR": 9 / (2 * 5), "IT": 9 / (2 * 4)}
+
+
+def _reads_tables(df):
+    return "FileScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_feature_queries_parse_profiles_once(spark, tmp_path):
+    customers = spark.range(1, 61).selectExpr("id AS c_custkey", "concat('S', id % 2) AS c_mktsegment", "id % 25 AS c_nationkey", "CAST(id AS DOUBLE) AS c_acctbal")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    for name in ("fea_4_section_tfidf", "fea_5_section_stack", "fea_8_hybrid_stack"):
+        made = catalog.QUERIES[name](spark, str(tmp_path))
+        assert made.count() > 0
+        assert not _reads_tables(made), name  # no pass after the first goes back to the pages
+
+
+def test_feature_queries_weigh_documents_once(spark, tmp_path):
+    texts = [(n, " ".join(f"word{(n * k) % 17}" for k in range(1, 12)), "ab"[n % 2]) for n in range(40)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("fea_7_latent_branch", "fea_12_chi2_scores", "fea_12_chi2_selected"):
+        made = catalog.QUERIES[name](spark, str(tmp_path))
+        assert made.count() > 0
+        assert not _reads_tables(made), name
