@@ -30,15 +30,12 @@ def with_terms(df: DataFrame, text_col: str, out: str, stop_words: Iterable[str]
 def term_counts(df: DataFrame, terms_col: str) -> DataFrame:
     """``(term, tf, df)``: occurrences and documents of each term.
 
-    Each row sorts its own terms, so that the first of a run marks a new document: one aggregate
-    with map-side combine counts both, and no (document, term) pairs are shuffled.
+    Each row gives all its terms and once more its distinct ones: one aggregate with map-side combine
+    counts both, and no (document, term) pairs are shuffled.
     """
-    ordered = df.select(F.sort_array(terms_col).alias("t"))
-    marked = F.transform("t", lambda x, i: F.struct(x.alias("term"), ((i == 0) | (x != F.get("t", i - 1))).alias("first")))
-    rows = ordered.select(F.explode(marked).alias("e"))
-    return rows.groupBy(F.col("e.term").alias("term")).agg(
-        F.count("*").alias("tf"), F.count_if(F.col("e.first")).alias("df")
-    )
+    lists = df.select(F.col(terms_col).alias("t"), F.array_distinct(terms_col).alias("u"))
+    rows = lists.select(F.expr("stack(2, t, false, u, true) AS (terms, first)")).select(F.explode("terms").alias("term"), "first")
+    return rows.groupBy("term").agg(F.count_if(~F.col("first")).alias("tf"), F.count_if("first").alias("df"))
 
 
 def vocabulary(df: DataFrame, terms_col: str, max_features: int, min_df: int = 2) -> DataFrame:
