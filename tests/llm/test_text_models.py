@@ -58,6 +58,19 @@ def test_mixing_odd_rows(odd_documents, book):
     assert mixing.score(odd_documents.where("false"), "doc_id", "text").count() == 0
 
 
+def test_mixing_scores_do_not_depend_on_how_much_is_scored_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 90, 25))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = []
+    for most in (1 << 20, 200):
+        monkeypatch.setattr(mixing, "SCORED", most)
+        monkeypatch.setattr(mixing, "HELD_TOKENS", most)
+        found.append({r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in mixing.score(docs, "doc_id", "text", 40).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert all(np.allclose(found[0][i], found[1][i], rtol=1e-9) for i in found[0])
+
+
 def test_mixing_learns_what_follows(spark):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(f"a{k} b{k}" for k in rng.integers(0, 40, 60))) for i in range(300)]
