@@ -14,6 +14,9 @@ from sheafmill.llm.common import read, stored
 from sheafmill.llm.queries import word_bpe_path
 from sheafmill.session import cut_lineage
 
+#: Bytes of text that a task of the third stage cuts at a time; results do not depend on it.
+SLICE = 3 << 20
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier (fitted on the labelled training rows among ``docs``) does not reject.
@@ -48,7 +51,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars`` is counted anew where it is an integer column. A document with nothing left stays, with the
     empty text; one with nothing removed keeps its text as it is.
     """
-    found = substring.dedup(docs, "doc_id", "text", keep_untouched=True)
+    found = substring.dedup(docs, "doc_id", "text", keep_untouched=True, slice_bytes=SLICE)
     columns = [F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return found.select(*columns)
 

@@ -202,7 +202,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, slice_bytes: int = SLICE) -> DataFrame:
     """``(id, key, first, last)``: windows ``first`` to ``last`` of a document also start in one with a smaller id.
 
     ``docs`` has ``id long, key long, text``; a null id counts as larger than any other.
@@ -213,7 +213,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=ZSTD_LEVEL)
-        for part in text_slices(batches, "text", SLICE):
+        for part in text_slices(batches, "text", slice_bytes):
             words = _Words(part.column("text").cast(pa.binary()).to_pylist())
             id_ = np.array([LAST_ID if i is None else i for i in part.column("id").to_pylist()], np.int64)
             key = part.column("key").to_numpy().astype(np.uint32)
@@ -287,18 +287,18 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     return moved.mapInArrow(gather, _SCHEMA).select("id", "key", "first", "last")
 
 
-def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram: int = GRAM, keep_untouched: bool = False) -> DataFrame:
+def dedup(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram: int = GRAM, keep_untouched: bool = False, slice_bytes: int = SLICE) -> DataFrame:
     """``df`` with the words that remain, joined by one space, in ``text_col``, and ``n_words``, ``n_removed`` long.
 
     A word goes if it is covered by a window that also starts in a document with a smaller id; windows
     are judged on the input. Rows with equal ids are one document: they never remove each other's words. A
     null id counts as larger than any other. A null text has no words and becomes the empty text, as does
-    one of white space. With ``keep_untouched`` a text that loses no word keeps its own white space. Columns of ``df`` that are named like the two counts are replaced.
+    one of white space. ``slice_bytes`` of text are cut into strings at a time, which bounds memory and does not change results. With ``keep_untouched`` a text that loses no word keeps its own white space. Columns of ``df`` that are named like the two counts are replaced.
     """
     rest = [c for c in df.columns if c not in (text_col, "n_words", "n_removed")]
     held = spread(df.select(F.struct(*rest).alias("rest"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST_ID))).alias("id"), F.col(text_col).alias("text")))
     held = held.withColumn("key", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    found = repeats(held.select("id", "key", "text"), window, gram)
+    found = repeats(held.select("id", "key", "text"), window, gram, slice_bytes)
     found = found.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     joined = held.join(found, ["id", "key"], "left").select("rest", "text", "spans")
     kind = joined.schema["rest"].dataType.simpleString()

@@ -229,3 +229,13 @@ def test_bins_are_searched_at_any_number(counts, capacity):
     least = packing.least_sequences(many, capacity)
     one_by_one = min(sum(t for _, t in packing._complete_all(many, capacity, packing.SEARCH_NODES, least, ease)) for ease in packing.EASE)
     assert used == many and least <= sum(t for _, t in made) < one_by_one
+
+
+def test_passages_do_not_depend_on_how_much_is_cut_at_a_time(spark):
+    rng = np.random.default_rng(9)
+    part = [f"p{k}" for k in rng.integers(0, 50, 30)]
+    rows = [(i, " ".join([*(f"w{k}" for k in rng.integers(0, 900, 40)), *part[i % 5 :]])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = [sorted(map(tuple, substring.dedup(docs, "doc_id", "text", slice_bytes=n).select("doc_id", "text", "n_removed").collect())) for n in (6 << 20, 300)]
+    assert found[0] == found[1]
+    assert sum(r[2] for r in found[0]) > 0
