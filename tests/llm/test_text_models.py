@@ -84,6 +84,26 @@ def test_mixing_learns_what_follows(spark):
     assert mean(held) > mean(shuffled)
 
 
+def test_bits_do_not_depend_on_how_many_tokens_are_laid_out_at_a_time(monkeypatch):
+    book = mixing.Book([b"a", b"b", b"", b"c"], [50, 20, 10, 1], 7)
+    symbols, words = np.random.default_rng(4).integers(0, 5, 300), [b"xy", b"z", b"caf\xc3\xa9"] * 3
+    laid = [(book.slots(symbols, np.array([0, 7, 120]), 16), mixing.spelling(words))]
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 7)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 2)
+    laid.append((book.slots(symbols, np.array([0, 7, 120]), 16), mixing.spelling(words)))
+    for one, two in zip(*laid):
+        assert all((x == y).all() for x, y in zip([*one[0], *one[1:]], [*two[0], *two[1:]]))
+
+
+def test_token_counts_split_at_ascii_white_space_only(spark, monkeypatch):
+    texts = [" A b\x0b\x0cB ", "", None, "\u00a0x y\x1cz \u00c9", "a"] * 3
+    want = Counter(t for text in texts for t in mixing.tokens_of(text))
+    for most in (1 << 20, 3):
+        monkeypatch.setattr(mixing, "HELD_TOKENS", most)
+        found = mixing.token_counts(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1))
+        assert {bytes(r.token): r.n for r in found.collect()} == want
+
+
 def test_codes_are_a_whole_binary_tree():
     book = mixing.Book([b"a", b"b", b"", b"c"], [50, 20, 10, 1], 7)
     codes = ["".join(map(str, book.bits[s : s + n])) for s, n in zip(book.starts, book.lengths)]
