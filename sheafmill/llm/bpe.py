@@ -18,12 +18,13 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import spans, text_slices
+from .common import numbers, spans, text_slices
 
 #: Distinct chunks and words kept between slices of a partition; the cache starts anew beyond that, with the same results.
 CACHE_CHUNKS = 250_000
@@ -82,7 +83,7 @@ class PairIndexBpe:
 
     def _forget(self) -> None:
         self.words: dict[str, int] = {}
-        self.chunks: dict[bytes, int] = {}
+        self.chunks = numbers()
         self.word_ids, self.word_ends = np.empty(0, np.int32), np.zeros(1, np.int64)
         self.chunk_ids, self.chunk_ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
@@ -192,10 +193,13 @@ class PairIndexBpe:
     def _learn(self, fresh: list[bytes]) -> None:
         """Add the ids of new chunks to the cache; a special token is a word of its own."""
         known, new, plan, counts = self.words, [], [], []
-        for chunk in fresh:
-            text = chunk.decode("utf-8")
-            if any(map(text.__contains__, self.special)):
+        whole = b" ".join(fresh).decode("utf-8")  # no chunk holds a space
+        special = any(map(whole.__contains__, self.special))
+        for text in whole.split(" "):
+            if special and any(map(text.__contains__, self.special)):
                 found = [x for part in self.split_special.split(text) for x in ([part] if part in self.special else self.pieces(part))]
+            elif text.isascii() and text.isalpha():
+                found = (text.lower(),)
             else:
                 found = self.pieces(text)
             for word in found:
@@ -226,20 +230,15 @@ class PairIndexBpe:
         """
         if len(self.chunks) > CACHE_CHUNKS:
             self._forget()
-        known, fresh, order, counts = self.chunks, [], array("q"), []
+        known, before, order, counts = self.chunks, len(self.chunks), array("i"), []
         for text in texts:
             chunks = text.encode("utf-8").split() if text else ()
             counts.append(len(chunks))
-            for chunk in chunks:
-                at = known.get(chunk)
-                if at is None:
-                    at = known[chunk] = len(known)
-                    fresh.append(chunk)
-                order.append(at)
-        if fresh:
-            self._learn(fresh)
-        at = np.frombuffer(order, np.int64)
-        starts, lengths = self.chunk_ends[at], self.chunk_ends[at + 1] - self.chunk_ends[at]
+            order.extend(map(known.__getitem__, chunks))
+        if len(known) > before:
+            self._learn(list(islice(known, before, None)))
+        at = np.frombuffer(order, np.int32) if len(order) else np.empty(0, np.int32)
+        starts, lengths = self.chunk_ends.take(at), np.diff(self.chunk_ends).take(at)
         after = np.concatenate([[0], np.cumsum(lengths)])
         offsets = after[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
         return self.chunk_ids[spans(starts, lengths)], offsets

@@ -31,14 +31,14 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import spread, text_slices
+from .common import numbers, spread, text_slices
 
 WINDOW = 13
 GRAM = 2
 HOT_SHARE = 20_000
 HOT_LEAST = 50
 SLICE = 6 << 20
-ZSTD_LEVEL = 6
+ZSTD_LEVEL = 3
 #: Bytes of packed words in a bucket, and in one of its passes.
 BUCKET_BYTES = 6 << 20
 PASS_WORDS = 3_000_000
@@ -57,12 +57,14 @@ class _Words:
     """The words of some texts: the document of each, its hash, and the words joined by one space."""
 
     def __init__(self, texts: list[bytes | None]):
-        known: dict[bytes, int] = {}
-        order, counts = array("i"), []
+        known = numbers()
+        order, counts, parts = array("i"), [], []
         for text in texts:
             words = text.split() if text else ()
             counts.append(len(words))
-            order.extend([known.setdefault(w, len(known)) for w in words])
+            order.extend(map(known.__getitem__, words))
+            if words:
+                parts.append(b" ".join(words))
         at = np.frombuffer(order, np.int32) if len(order) else np.empty(0, np.int32)
         keys = list(known)
         self.doc = np.repeat(np.arange(len(texts)), counts)
@@ -71,7 +73,7 @@ class _Words:
         sizes = np.array([len(w) for w in keys], np.int64)[at] if keys else np.empty(0, np.int64)
         self.stop = np.cumsum(sizes + 1) - 1
         self.start = self.stop - sizes
-        self.joined = b" ".join(map(keys.__getitem__, order))
+        self.joined = b" ".join(parts)
 
     def grams(self, gram: int) -> np.ndarray:
         """Hash of the ``gram`` words from each position on, across documents too."""
@@ -247,16 +249,16 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, slice_bytes
                 yield _rows(bucket[cuts[:-1]], blobs, none, none, none, none)
 
     def settle(blobs: list[bytes]) -> pa.RecordBatch | None:
-        known: dict[bytes, int] = {}
-        parts, numbers = [], []
+        known = numbers()
+        parts, order = [], []
         for blob in blobs:
             *numeric, words = _unpacked(blob)
             parts.append(numeric)
-            numbers.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
+            order.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
         del known
         id_, key, place, count = map(np.concatenate, zip(*parts))
         count = count.astype(np.int64)
-        first, last = _runs(repeated_in(id_, np.concatenate(numbers), window, count))
+        first, last = _runs(repeated_in(id_, np.concatenate(order), window, count))
         if not len(first):
             return None
         ends = np.cumsum(count)

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from sheafmill.llm import bpe, packing, queries, substring
+from sheafmill.llm import bpe, common, packing, queries, substring
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -239,3 +239,23 @@ def test_passages_do_not_depend_on_how_much_is_cut_at_a_time(spark):
     found = [sorted(map(tuple, substring.dedup(docs, "doc_id", "text", slice_bytes=n).select("doc_id", "text", "n_removed").collect())) for n in (6 << 20, 300)]
     assert found[0] == found[1]
     assert sum(r[2] for r in found[0]) > 0
+
+
+def test_numbers_follow_first_look_ups_and_the_cache_learns_new_chunks_only(monkeypatch):
+    known = common.numbers()
+    assert list(map(known.__getitem__, [b"x", b"y", b"x", b"z"])) == [0, 1, 0, 2] and list(known) == [b"x", b"y", b"z"]
+    model, learnt = bpe.PairIndexBpe(PATH), []
+    learn = model._learn
+    monkeypatch.setattr(model, "_learn", lambda fresh: (learnt.append(fresh), learn(fresh)))
+    texts = [["Plain words, plain"], ["words <|endoftext|>x PLAIN d'abc \u00c9t\u00e9"], [None, "", "plain words"], ["plain"]]
+    for some in texts:
+        ids, offsets = model.encode(some)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library_ids(t) for t in some]
+    assert [len(fresh) for fresh in learnt] == [3, 5]
+
+
+def test_joined_words_match_their_places():
+    texts = [b" a  bb a", None, b"", b"\t", b"ccc a\n"]
+    words = substring._Words(texts)
+    assert words.joined == b"a bb a ccc a" and words.doc.tolist() == [0, 0, 0, 4, 4]
+    assert [words.joined[a:b] for a, b in zip(words.start, words.stop)] == [b"a", b"bb", b"a", b"ccc", b"a"]
