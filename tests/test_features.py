@@ -232,3 +232,15 @@ def test_feature_queries_weigh_documents_once(spark, tmp_path):
         made = catalog.QUERIES[name](spark, str(tmp_path))
         assert made.count() > 0
         assert not _reads_tables(made), name
+
+
+def test_term_counts_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    rows = [["a", "b", "a"], None, [], ["a", None, None], ["c"], ["b", "c", "d e", "a"]] * 5
+    want = {("a", 20, 15), ("b", 10, 10), ("c", 10, 10), ("d e", 5, 5), (None, 10, 5)}
+    for slice_terms, held, part_rows in ((1_000_000, 500_000, 4_000), (3, 2, 1)):
+        monkeypatch.setattr(tfidf, "SLICE_TERMS", slice_terms)
+        monkeypatch.setattr(tfidf, "HELD_TERMS", held)
+        monkeypatch.setattr(tfidf, "PART_ROWS", part_rows)
+        found = tfidf.term_counts(spark.createDataFrame([(r,) for r in rows], "terms array<string>").coalesce(2), "terms")
+        assert {tuple(r) for r in found.collect()} == want
+        assert part_rows > 1 or found.rdd.getNumPartitions() == 30
