@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from itertools import combinations, groupby
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 
 MAX_RULE_ITEMS = 20
+#: Candidates of one size that are counted on bit rows; beyond it FP-growth finds all sets, which keeps them distributed.
+MAX_CANDIDATES = 1 << 18
+#: Cells (items x rows) that are packed into bits at a time.
+PACKED_CELLS = 1 << 24
 
 RULE_MEASURES = [
     "antecedent_support", "consequent_support", "support", "confidence", "lift", "representativity",
@@ -45,15 +56,21 @@ def one_hot(trans: DataFrame, id_col: str, items: list[str]) -> DataFrame:
 def frequent_itemsets(trans: DataFrame, min_support: float, partitions: int | None = None) -> DataFrame:
     """``(items, freq, n_rows, support)`` of all item sets with support >= ``min_support``.
 
-    Parallel FP-growth: prefix trees are merged map-side, so rows with equal items travel once.
-    The item arrays go to the checkpoint folder first, since the fit reads them several times and
-    they are far smaller than the documents they come from; the result goes there because the
-    rule step reads it three times.
+    Rows become bits, one row of bits for each frequent item, and sets are counted size by size: a task ands the bits
+    of its rows and sends one number per candidate, so what is shuffled does not grow with the rows. A candidate is a
+    set whose every smaller part is frequent. Should one size have more than ``MAX_CANDIDATES``, Spark's FP-growth
+    finds all sets instead; they are the same. Rows and bits go to the checkpoint folder, since each size reads them,
+    and so does the result, because the rule step reads it three times.
     """
     rows = cut_lineage(trans.select("items"))
-    n_rows = rows.count()
-    groups = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = FPGrowth(itemsCol="items", minSupport=min_support, numPartitions=groups).fit(rows).freqItemsets
+    n_rows, filled = rows.agg(F.count("*"), F.count("items")).first()
+    least = math.ceil(min_support * filled)
+    found = _counted_sets(rows, least)
+    if found is None:
+        groups = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sets = FPGrowth(itemsCol="items", minSupport=min_support, numPartitions=groups).fit(rows).freqItemsets
+    else:
+        sets = rows.sparkSession.createDataFrame(found, "items array<string>, freq long")
     return cut_lineage(
         sets.select(
             F.array_sort("items").alias("items"),
@@ -64,6 +81,75 @@ def frequent_itemsets(trans: DataFrame, min_support: float, partitions: int | No
     )
 
 
+def _counted_sets(rows: DataFrame, least: int) -> pa.Table | None:
+    """``(items, freq)`` of all sets in at least ``least`` rows; nothing where a size has too many candidates."""
+    single = item_frequencies(rows, "items").where((F.col("n") >= least) & F.col("item").isNotNull()).orderBy("item").limit(MAX_CANDIDATES + 2).collect()
+    names, sets, freqs = [r["item"] for r in single], [], [r["n"] for r in single]
+    if len(names) * (len(names) - 1) // 2 > MAX_CANDIDATES:
+        return None
+    known = [(n,) for n in range(len(names))]
+    sets += known
+    bits = cut_lineage(rows.mapInArrow(_packer(names), "bits array<binary>")) if len(names) > 1 else rows
+    while tried := _candidates(known):
+        if len(tried) > MAX_CANDIDATES:
+            return None
+        counts = bits.mapInArrow(_counter(tried), "candidate long, n long").groupBy("candidate").agg(F.sum("n").alias("n"))
+        kept = sorted(tuple(r) for r in counts.where(F.col("n") >= least).collect())
+        known = [tried[at] for at, _ in kept]
+        sets += known
+        freqs += [n for _, n in kept]
+    return pa.table({"items": pa.array([[names[n] for n in own] for own in sets], pa.list_(pa.string())), "freq": pa.array(freqs, pa.int64())})
+
+
+def _candidates(known: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """Sets of one more item whose parts are all in ``known``, which is sorted; one more than ``MAX_CANDIDATES`` at most."""
+    seen, out = set(known), []
+    for head, same in groupby(known, lambda s: s[:-1]):
+        for a, b in combinations([s[-1] for s in same], 2):
+            if all((*head[:n], *head[n + 1 :], a, b) in seen for n in range(len(head))):
+                out.append((*head, a, b))
+                if len(out) > MAX_CANDIDATES:
+                    return out
+    return out
+
+
+def _packer(names: list[str]):
+    """Rows of items to rows of bits: one binary per name with a bit for each row of the batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(names, pa.string())
+        step = max(64, PACKED_CELLS // len(names))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                lists = batch.column(0).slice(at, step)
+                code = pc.index_in(lists.flatten(), known).fill_null(-1).to_numpy()
+                row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).fill_null(0).to_numpy())
+                cells = np.zeros((len(names), -(-len(lists) // 64) * 64), bool)
+                cells[code[code >= 0], row[code >= 0]] = True
+                yield pa.RecordBatch.from_arrays([pa.array([[b.tobytes() for b in np.packbits(cells, axis=1)]], pa.list_(pa.binary()))], ["bits"])
+
+    return run
+
+
+def _counter(tried: list[tuple[int, ...]]):
+    """Rows of bits to ``(candidate, n)``: the task's rows that hold all items of each candidate, which are in order."""
+    heads = [(head, [(at, s[-1]) for at, s in same]) for head, same in groupby(enumerate(tried), lambda e: e[1][:-1])]
+    groups = [(list(head), same[0][0], [last for _, last in same]) for head, same in heads]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(tried), np.int64)
+        for batch in batches:
+            for own in batch.column(0):
+                words = np.frombuffer(b"".join(own.as_py()), np.uint64).reshape(len(own), -1)
+                for head, at, last in groups:
+                    both = words[last] & np.bitwise_and.reduce(words[head], axis=0)
+                    total[at : at + len(last)] += np.bitwise_count(both).sum(1, dtype=np.int64)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["candidate", "n"])
+
+    return run
+
+
 def rule_measures(s_a: Column, s_c: Column, s: Column) -> list[Column]:
     """All rule measures from the supports of antecedent, consequent and both together."""
     conf = s / s_a

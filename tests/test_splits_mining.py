@@ -91,6 +91,24 @@ def test_rules_against_all_subsets(spark, baskets):
     assert n == len(rules) > 10
 
 
+def test_sets_are_counted_without_sending_rows(spark, baskets, monkeypatch):
+    """FP-growth, whose shuffle grows with the rows, is only for more candidates than one size may have."""
+    rows = spark.createDataFrame([(None,), ([],)], "items array<string>").unionByName(mining.transactions(baskets, "items", 50).select("items").repartition(3))
+
+    def found(support):
+        return sorted((tuple(r["items"]), r.freq, r.n_rows, r.support) for r in mining.frequent_itemsets(rows, support).collect())
+
+    with monkeypatch.context() as patched:
+        patched.setattr(mining, "FPGrowth", None)
+        patched.setattr(mining, "PACKED_CELLS", 1)
+        counted = {support: found(support) for support in (0.05, 0.15, 0.4, 1.0)}
+    assert len(counted[0.05]) > len(counted[0.15]) > 10 and not counted[1.0]
+    for most in (0, 9):
+        monkeypatch.setattr(mining, "MAX_CANDIDATES", most)
+        assert {support: found(support) for support in counted} == counted
+    assert mining.frequent_itemsets(rows.where("false"), 0.1).count() == 0
+
+
 def test_higher_support_gives_no_more_rules(spark, baskets):
     trans = mining.transactions(baskets, "items", 20, keep=[])
     assert mining.mine_rules(trans, 0.5).count() <= mining.mine_rules(trans, 0.2).count()
