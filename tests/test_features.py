@@ -139,6 +139,24 @@ def test_svd_blocks_and_clamp(spark, monkeypatch):
         latent.fit_svd(df, "row", 12, 128)
 
 
+def test_svd_reads_the_rows_once(spark, monkeypatch):
+    """Up to ``GRAM_WIDTH`` columns the rows are read in one pass; by one pass a product it is the same."""
+    data, df = random_rows(spark)
+    passes = []
+    whole = latent._summed
+    monkeypatch.setattr(latent, "_summed", lambda parts: passes.append(1) or whole(parts))
+    once = latent.fit_svd(df, "row", 12, 5)
+    assert len(passes) == 1
+    monkeypatch.setattr(latent, "BLOCK_CELLS", 40)
+    blocks = latent.fit_svd(df.repartition(3), "row", 12, 5)
+    monkeypatch.setattr(latent, "GRAM_WIDTH", 0)
+    again = latent.fit_svd(df, "row", 12, 5)
+    assert len(passes) == 2 + 6
+    for other in (blocks, again):
+        assert np.allclose(once.components, other.components, atol=1e-6) and np.allclose(once.singular_values, other.singular_values)
+        assert abs(once.explained_variance - other.explained_variance) < 1e-9
+
+
 def test_standard(spark):
     data = np.random.default_rng(1).random((30, 3))
     data[:, 1] = 4.0

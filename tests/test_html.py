@@ -1,3 +1,6 @@
+import random
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +28,25 @@ def test_sections(spark):
     assert parse(spark, PAGE) == EXPECTED
 
 
+def test_plain_tags_are_read_like_any(monkeypatch):
+    """Tags in plain form skip the parser's own reading of a tag; pages of damaged markup among them give the same sections."""
+    rng, asked = random.Random(5), []
+    parts = [
+        '<div class="section" id="A1">', '<div class="sectiontitle">', "</div>", "<div>", '<DIV class="section x">', "<div  class=section>", "<p>", "</p>", "<br/>", "<script>",
+        "</script>", "<b>", "</b>", "a &amp; b", "text", "<", "<div", "</div", "<!--", "<title>", "</title>", '<div class="a &amp; section">', '<div class="x" class="section">', "<rt>", "</ruby>", " ",
+    ]
+    pages = [PAGE] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    for name in ("parse_starttag", "parse_endtag"):
+        slow = getattr(HTMLParser, name)
+        monkeypatch.setattr(HTMLParser, name, lambda self, i, slow=slow: asked.append(i) or slow(self, i))
+    found = [html._walk(page) for page in pages[:1]]
+    assert len(asked) < PAGE.count("<") // 4
+    found += [html._walk(page) for page in pages[1:]]
+    for name in ("parse_starttag", "parse_endtag", "updatepos"):
+        monkeypatch.delattr(html._SectionWalk, name)
+    assert found == [html._walk(page) for page in pages]
+
+
 def test_unclosed_silent_elements_lose_nothing_after_them(spark):
     later = '<div class="section" id="SECTION_EDUC1"><div class="sectiontitle">Education</div>Later text</div>'
     for part in ("<ruby>a<rt>x", "<ruby>a<rp>(<rt>x<rp>)", "<template>x", "<rt>x"):
