@@ -133,6 +133,19 @@ def test_silhouette_stays_within_its_error(spark, anchors):
     assert off <= found.error + 1e-9 and found.error < 2 and off < (0.05 if anchors == 60 else 0.01)
 
 
+def test_silhouette_is_exact_however_many_rows(spark):
+    rng = np.random.default_rng(9)
+    data, lab, other = rng.normal(size=(700, 12)), rng.integers(0, 4, 700), rng.integers(-1, 250, 700)
+    data[600:], lab[600:650] = data[:100], lab[:50]
+    found = silhouette.silhouette(points_table(spark, data, lab), "id", "x", "label", 60).first()  # far more distinct rows than that
+    assert abs(found.silhouette - brute_silhouette(data, lab)) < 1e-9 and found.error == 0
+    rows = [(x.tolist(), int(a), int(b)) for x, a, b in zip(data, lab, other)]
+    df = spark.createDataFrame(rows, "x array<double>, a int, b int").repartition(3)
+    both = {r.clustering: r.silhouette for r in silhouette.silhouettes(df, "x", ["a", "b"], noise=True).collect()}
+    kept = other >= 0
+    assert abs(both[0] - brute_silhouette(data, lab)) < 1e-9 and abs(both[1] - brute_silhouette(data[kept], other[kept])) < 1e-9
+
+
 def brute_ward(data, weight, k):
     groups = [[i] for i in range(len(data))]
     while len(groups) > k:
