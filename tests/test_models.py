@@ -5,9 +5,10 @@ import types
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import Observation, functions as F
 
-from sheafmill.operators import blocks, classify, cluster, components, dbscan, metrics, microclusters, neighbours, ordering, resample, silhouette, vectors
+from sheafmill.operators import blocks, classify, cluster, components, dbscan, lloyd, metrics, microclusters, neighbours, ordering, resample, silhouette, vectors
 from sheafmill.sources import stored
 
 
@@ -112,6 +113,23 @@ def test_all_starts_of_a_sweep_give_what_each_gives(spark):
     assert [m.summary.trainingCost for m in found] == [cluster.fit_kmeans(points, k, 3).summary.trainingCost for k in (2, 4)]
 
 
+@pytest.mark.parametrize("dims, off", [(3, 0.0), (20, 1000.0)])
+def test_steps_are_those_of_spark_in_one_task_and_in_passes(spark, dims, off):
+    rng = np.random.default_rng(dims)
+    data = rng.normal(size=(5000, dims)) + off
+    data[4000:] = data[:1000]
+    points = cluster._points(points_table(spark, data, np.zeros(5000, int)), "id", "x", "label").persist()
+    first = [KMeans(k=k, seed=3, maxIter=0).fit(points).clusterCenters() for k in (2, 7)]
+    alone, passes, one = lloyd.run(points, "points", first, [2, 7], 300), lloyd.run(points, "points", first, [2, 7], 300, local_values=0), lloyd.run(points, "points", first[1:], [7], 300)
+    for k, a, b in zip((2, 7), alone, passes):
+        want = KMeans(k=k, seed=3, maxIter=300).fit(points)
+        assert (a.values == b.values).all() and a.summary == b.summary and a.steps == b.steps > 1
+        assert np.allclose(a.values, want.clusterCenters(), atol=1e-8) and abs(a.summary.trainingCost / want.summary.trainingCost - 1) < 1e-9
+        assert a.transform(points).select("id", "prediction").exceptAll(want.transform(points).select("id", "prediction")).count() == 0
+    assert (one[0].values == alone[1].values).all() and one[0].summary == alone[1].summary
+    assert [m.steps for m in lloyd.run(points, "points", first, [2, 7], 1)] == [1, 1]
+
+
 def test_silhouette(spark):
     rng = np.random.default_rng(3)
     data = rng.normal(size=(60, 3)) + 1000  # far from the origin, where expanded squares would cancel
