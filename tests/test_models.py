@@ -61,6 +61,26 @@ def test_dbscan_in_fifty_dimensions(spark, monkeypatch, eps):
     assert told.get["pairs"] < 0.8 * (2 * blocks) ** 2  # cells far from each other do not meet
 
 
+@pytest.mark.parametrize("parts", [2, 2000])
+def test_dbscan_in_tiles_of_few_blocks_gives_all_eps_at_once(spark, monkeypatch, parts):
+    monkeypatch.setattr(dbscan, "block_rows", lambda width: 8)
+    monkeypatch.setattr(dbscan, "GROUP_VALUES", 8 * 3 * 5)
+    monkeypatch.setattr(dbscan, "MOST_PARTS", parts)
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.normal(c * 3.0, 0.7, (60, 3)) for c in range(3)] + [np.tile([[3.2, 3.0, 3.1]], (9, 1))])
+    eps, seen = [0.4, 0.9, 4.0], []
+    tiles = dbscan._tiles
+    monkeypatch.setattr(dbscan, "_tiles", lambda meeting, per: seen.append((meeting, per, tiles(meeting, per))) or seen[0][2])
+    got = {r.id: r[1:] for r in dbscan.dbscans(points_table(spark, data), "id", "x", eps).collect()}
+    for n, e in enumerate(eps):
+        assert [got[i][n] for i in range(len(data))] == brute_dbscan(data, e).tolist()
+    meeting, per, (needed, count) = seen[0]
+    blocks = meeting.where("a = b").count()
+    groups = -(-blocks // per)
+    assert per == 5 and count <= groups * (groups + 1) / 2
+    assert needed.count() <= blocks * groups < 2 * meeting.count()  # each pair of blocks sent both
+
+
 def test_dbscan_empty(spark):
     assert dbscan.dbscan(spark.createDataFrame([], "id int, x array<double>"), "id", "x", 1.0).count() == 0
 
