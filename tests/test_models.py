@@ -306,6 +306,17 @@ def test_rows_in_clumps_visit_few_cells(spark, monkeypatch):
     assert told.get["visits"] < 8 * 3000  # all blocks would be 30 or more a row
 
 
+def test_rows_move_once_to_each_host_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "block_rows", lambda width: 4)
+    rng = np.random.default_rng(11)
+    data, lab = rng.normal(size=(400, 12)), np.repeat([0, 1], [250, 150])  # all distances are much alike
+    rows = feature_rows(spark, data, lab).withColumn("ask", F.lit(True))
+    told = Observation("hosts")
+    got = {r.id: r.neighbours for r in neighbours.nearest_in_group(rows, "id", "label", "row", "ask", 12, 5, told).collect()}
+    assert got == knn(data, lab, 5)
+    assert told.get["visits"] <= 400 * 20  # nearly all of 75 and 125 blocks are visited
+
+
 def test_rows_that_visit_many_blocks_are_sent_in_frames_of_bounded_size(monkeypatch):
     monkeypatch.setattr(neighbours, "MOVED_VALUES", 1000)
     rows = pd.DataFrame({"id": [7, 8], "indices": [np.arange(99)] * 2, "values": [np.ones(99)] * 2})
